@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from heddle.llm import mixing, simhash, tokens
+from heddle.llm import embeddings, mixing, simhash, tokens
 
-MODULES = (simhash, mixing, tokens)
+MODULES = (simhash, mixing, embeddings, tokens)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.ORACLE_SQL.items()}

@@ -1,0 +1,87 @@
+import numpy as np
+import pytest
+
+from heddle.llm import embeddings as E
+from heddle.llm.components import local_roots
+
+KIND = "vec_id long, embedding array<float>, label int, key string, codes string"
+
+
+def brute(rows, cosine=0.98):
+    """{vec_id: (n_links, component)} over all pairs; ids are distinct here."""
+    ok = []
+    for i, v, lab, *_ in rows:
+        x = None if v is None or any(c is None for c in v) else np.array(v, np.float32).astype(float)
+        ok.append(lab is not None and x is not None and len(x) > 0 and np.isfinite(x).all() and (x != 0).any())
+    a, b = [], []
+    for i in range(len(rows)):
+        for j in range(i):
+            if ok[i] and ok[j] and rows[i][2] == rows[j][2] and len(rows[i][1]) == len(rows[j][1]):
+                x, y = (np.array(rows[k][1], np.float32).astype(float) for k in (i, j))
+                x, y = x / np.abs(x).max(), y / np.abs(y).max()
+                if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= cosine:
+                    a.append(i)
+                    b.append(j)
+    root = local_roots(len(rows), np.array(a, int), np.array(b, int))
+    n = np.bincount(a + b, minlength=len(rows)) if rows else []
+    low = {}
+    for k, r in enumerate(root):
+        low[r] = min(low.get(r, rows[k][0]), rows[k][0])
+    return {rows[k][0]: (int(n[k]), low[root[k]]) for k in range(len(rows))}
+
+
+@pytest.mark.parametrize("piece", [128, 5])
+def test_groups_and_odd_vectors(spark, piece):
+    rng = np.random.default_rng(3)
+    rows = []
+    for g in range(12):
+        base = rng.standard_normal(64)
+        for _ in range(15):
+            rows.append((len(rows) + 3, [float(x) for x in base + 0.03 * rng.standard_normal(64)], g % 3, "k", None))
+    bad = [None, [], [None] + [1.0] * 63, [0.0] * 64, [float("nan")] * 64, [float("inf")] + [1.0] * 63]
+    rows += [(1000 + i, v, 1, "", "") for i, v in enumerate(bad)] + [(1, rows[0][1], None, "", ""), (2, rows[0][1], 0, "", ""), (0, [3e38] * 64, 2, "", ""), (2000, [1e-40] * 64, 2, "", ""), (2001, [1.0, 0.0], 2, "", ""), (2002, [1.0, 0.01], 2, "", "")]
+    got = {r.id: (r.n_links, r.component) for r in E.near_vectors(spark.createDataFrame(rows, KIND), piece=piece).collect()}
+    assert got == brute(rows)
+    kept = {r.id for r in E.near_vectors(spark.createDataFrame(rows, KIND)).collect() if r.kept}
+    assert kept == {c for _, c in got.values()}
+
+
+def test_repeats_null_ids_and_empty(spark):
+    v = [1.0, 2.0, 3.0, 4.0]
+    rows = [(5, v, 1, "", ""), (5, v, 1, "", ""), (None, v, 1, "", ""), (7, v, 2, "", "")]
+    got = sorted(map(str, E.near_vectors(spark.createDataFrame(rows, KIND)).collect()))
+    assert got == sorted(["Row(id=5, n_links=2, component=5, kept=True)"] * 2 + ["Row(id=None, n_links=2, component=5, kept=False)", "Row(id=7, n_links=0, component=7, kept=True)"])
+    assert E.near_vectors(spark.createDataFrame([], KIND)).collect() == []
+
+
+def recall(spark, rows):
+    x = np.array([r[1] for r in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lab = np.array([r[2] for r in rows])
+    true = ((x @ x.T >= 0.98) & (lab[:, None] == lab[None, :])).sum(axis=1) - 1
+    got = {r.id: r.n_links for r in E.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    n = np.array([got[r[0]] for r in rows])
+    assert (n <= true).all()
+    return n.sum(), true.sum()
+
+
+def test_recall_of_pairs_near_the_threshold(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(250):
+        base = rng.standard_normal(64)
+        for _ in range(4):
+            rows.append((len(rows), [float(v) for v in base + 0.12 * rng.standard_normal(64)], g % 3))
+    found, true = recall(spark, rows)
+    assert true > 400 and found >= 0.93 * true
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    x = np.array([r[1] for r in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lab = np.array([r[2] for r in rows])
+    true = ((x @ x.T >= 0.98) & (lab[:, None] == lab[None, :])).sum(axis=1) - 1
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in E.op3_embedding_itq(spark, sf).collect()}
+    assert true.sum() == 0 and got == {r[0]: (0, r[0], True) for r in rows}
