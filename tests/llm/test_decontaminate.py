@@ -1,0 +1,91 @@
+import numpy as np
+
+from heddle.llm import decontaminate as D
+from heddle.llm.words import words_of
+
+KIND = "doc_id long, text string, item_id string, score string"
+SF = "/root/testdata/sf0.001"
+
+
+def brute(docs, items):
+    """Overlap rule alone, each document against each item."""
+    out = set()
+    for d, text in docs:
+        have = set(D.shingles_of(words_of(text)))
+        for i, item in items:
+            words = words_of(item)
+            if len(words) < 5:
+                continue
+            all_of = D.shingles_of(words)
+            if sum(s in have for s in all_of) >= 0.8 * len(all_of):
+                out.add((d, i))
+    return out
+
+
+def run(spark, docs, items, **kw):
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in docs], KIND)
+    items = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
+    return D.leaks(docs, items, **kw).collect()
+
+
+def synthetic():
+    rng = np.random.default_rng(5)
+    vocab = [f"w{i}" for i in range(400)]
+    pick = lambda n: list(rng.choice(vocab, n, p=(p := 1 / np.arange(1, 401)) / p.sum()))
+    items = [(i, " ".join(pick(rng.integers(14, 60)))) for i in range(60)] + [(90, " ".join(pick(700)))]
+    docs = []
+    for i in range(80):
+        text = pick(int(rng.integers(0, 900)))
+        if i % 2:
+            item = items[rng.integers(len(items))][1].split()
+            if i % 4 == 1:
+                item[len(item) // 2] = "changed"
+            if i % 8 == 3:
+                item = item[: len(item) // 2]
+            at = rng.integers(0, len(text) + 1)
+            text[at:at] = item
+        docs.append((i, " ".join(text).title() + "!"))
+    return docs, items
+
+
+def test_finds_what_pairs_find(spark):
+    docs, items = synthetic()
+    got = {(r.id, r.item_id) for r in run(spark, docs, items)}
+    assert got == brute(docs, items) and len(got) > 15
+    assert {(r.id, r.item_id) for r in run(spark, docs, items, items_at_once=7)}.issuperset(got)
+
+
+def test_bound_never_loses_a_unit():
+    docs, items = synthetic()
+    index = D.Index(items)
+    for _, text in docs:
+        words = words_of(text)[: 2 * index.tile]
+        term = np.array([index.term.get(w, -1) for w in words], dtype=np.int64)
+        _, blocks = index.candidates(np.zeros(len(words), np.int64), term)
+        for u, impact in enumerate(index.impact):
+            if sum(x for t, x in impact.items() if t in set(words)) >= index.threshold:
+                assert u // D.BLOCK in set(blocks.tolist())
+
+
+def test_answers_count(spark):
+    question, answer = "one two three four five six seven eight nine ten eleven twelve " * 3, "the answer is forty two of course"
+    items = [(1, f"{question}\n{answer}")]
+    docs = [(1, f"x {question} {answer} y"), (2, f"{question} and no more"), (3, answer)]
+    got = run(spark, docs, items)
+    assert [r.id for r in got] == [1] and got[0].question_overlap == got[0].answer_overlap == 1.0
+
+
+def test_nulls_short_items_repeats_empty(spark):
+    text = "alpha beta gamma delta epsilon zeta eta theta"
+    items = [(1, text), (2, text), (3, None), (4, ""), (5, "alpha beta"), (None, text)]
+    docs = [(1, text), (1, text), (None, text), (2, None), (3, "")]
+    got = sorted((str(r.id), str(r.item_id)) for r in run(spark, docs, items))
+    assert got == sorted((d, i) for d in ("1", "1", "None") for i in ("1", "2", "None"))
+    assert run(spark, [], items) == [] and run(spark, docs, []) == []
+
+
+def test_query(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id) for r in D.op7_decontaminate_wand(spark, SF).collect()}
+    assert got == brute(docs, items)
