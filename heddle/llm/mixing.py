@@ -24,6 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SHARE, MOST = 1.5, 2
 WEIGHTS = (5, 2, 1)
 SEED = 20240601
+BROADCAST = 50_000  # rows, of a few dozen bytes each
 BITS = 10  # of the order's hash, for each of two levels of cells
 
 
@@ -145,7 +146,8 @@ def mix(
     repeated rows: rows of equal id and text are interchangeable. Null texts
     have size 0. Second: (source, pattern_of_one, source_size, target, taken).
 
-    What reaches the driver is a row for each distinct set of sources.
+    What reaches the driver is a row for each distinct set of sources. Up to
+    BROADCAST of them, tables of a row a set are broadcast; beyond, joined.
     """
     text = F.col(text_col)
     base = docs.select(
@@ -188,11 +190,12 @@ def mix(
         sums = sums.withColumn("start", F.col("start") + F.coalesce(F.sum("n").over(before.orderBy(cell)), F.lit(0)))
         return stored(sums.where("start <= rest and rest < start + n").select(F.col("pattern").alias("p"), *keep, F.col(cell).alias(cell + "_cut"), F.col("start").alias("begun")), "cut")
 
-    rows = base.join(plan, F.col("pattern") == F.col("p"), "left").drop("p")
+    sent = F.broadcast if len(totals) <= BROADCAST else lambda table: table
+    rows = base.join(sent(plan), F.col("pattern") == F.col("p"), "left").drop("p")
     first = cut(rows, "c1", F.lit(0).cast("long"), [])
-    inside = rows.join(first, (F.col("pattern") == F.col("p")) & (F.col("c1") == F.col("c1_cut"))).drop("p")
+    inside = rows.join(sent(first), (F.col("pattern") == F.col("p")) & (F.col("c1") == F.col("c1_cut"))).drop("p")
     second = cut(inside, "c2", F.col("begun"), ["c1_cut"])
-    rows = rows.join(second, F.col("pattern") == F.col("p"), "left")
+    rows = rows.join(sent(second), F.col("pattern") == F.col("p"), "left")
     at_cut = (F.col("c1") == F.col("c1_cut")) & (F.col("c2") == F.col("c2_cut"))
     early = (F.col("c1") < F.col("c1_cut")) | ((F.col("c1") == F.col("c1_cut")) & (F.col("c2") < F.col("c2_cut")))
     whole = rows.where(~F.coalesce(at_cut, F.lit(False))).withColumn("extra", F.when(early, F.col("size")).otherwise(0))
