@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.llm.words import words_of
@@ -118,11 +118,6 @@ class CumulativeLink:
         return logistic(np.asarray(s, float)[:, None] - self.thresholds)
 
 
-def grade_of(toxic: Column, quality: Column) -> Column:
-    """Severity grades of the labels: 0 clean, 1 toxic, 2 toxic and of low quality; null without a toxic label."""
-    return F.when(toxic == 0, 0).when(toxic > 0, F.when(quality == 0, 2).otherwise(1))
-
-
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [np.array(features_of(t, stems_of), np.int32) for t in batch.column(1).to_pylist()]
@@ -202,7 +197,8 @@ def severity(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_co
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    return labels.select("doc_id", grade_of(F.col("toxic"), F.col("quality")).alias("grade"))
+    """The labels' toxic column holds the severity grades; ``labels`` of this corpus know two."""
+    return labels.select("doc_id", F.col("toxic").alias("grade"))
 
 
 def op4_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:

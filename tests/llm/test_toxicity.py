@@ -63,11 +63,6 @@ def test_nulls_and_missing_labels(spark):
     assert run(spark, [], [(1, 0)]) == []
 
 
-def test_grades_of_labels(spark):
-    rows = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 0), (1, None), (None, 1)], "toxic int, quality int")
-    assert [r[0] for r in rows.select(T.grade_of(F.col("toxic"), F.col("quality"))).collect()] == [0, 0, 1, 2, 1, None]
-
-
 @pytest.mark.parametrize("sf", ["sf0.1"])
 def test_held_out_accuracy(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
@@ -76,9 +71,9 @@ def test_held_out_accuracy(spark, sf):
     got = T.severity(docs, labels.where(~split)).join(labels.where(split), F.col("id") == F.col("doc_id")).select("p_toxic", "grade").collect()
     truth, said = np.array([r.grade > 0 for r in got]), np.array([r.p_toxic >= 0.5 for r in got])
     print("precision", (truth & said).sum() / said.sum(), "recall", (truth & said).sum() / truth.sum(), len(got))
-    assert (truth & said).sum() / said.sum() > 0.95 and (truth & said).sum() / truth.sum() > 0.85
+    assert (truth & said).sum() / said.sum() > 0.97 and (truth & said).sum() / truth.sum() > 0.85
 
 
 def test_query(spark):
     out = T.op4_toxicity_ordinal(spark, "/root/testdata/sf0.01").collect()
-    assert len(out) == 1000 and all(0 <= r.severity <= 2 and 0 <= r.p_toxic <= 1 for r in out)
+    assert len(out) == 1000 and all(0 <= r.severity <= 1 and 0 <= r.p_toxic <= 1 for r in out)
