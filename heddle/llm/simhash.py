@@ -11,7 +11,7 @@ a task is a spanning forest of its links, never its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -155,8 +155,8 @@ def _links(batches: Iterable[pa.RecordBatch], radius: int, at_once: int = 50_000
         yield _flush(parts, radius)
 
 
-def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> DataFrame:
-    """Distinct fingerprints (fp) dealt to their shards: (block, value, one, two, role, fp).
+def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE, keep: Sequence[str] = ()) -> DataFrame:
+    """Fingerprints (fp) dealt to their shards: (block, value, one, two, role, fp) and the columns of ``keep``.
 
     A shard of over ``piece`` fingerprints has several pieces, and a row for
     each pair (one, two) of pieces that the fingerprint's own is part of.
@@ -168,11 +168,11 @@ def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> DataFram
         F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", lo).bitwiseAND((1 << (hi - lo)) - 1).alias("value"))
         for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
     ]
-    rows = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.block", "k.value", "fp")
+    rows = fps.select("fp", *keep, F.explode(F.array(*keys)).alias("k")).select("k.block", "k.value", "fp", *keep)
     large = rows.groupBy("block", "value").count().where(F.col("count") > piece)
     large = large.select("block", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
     cut = rows.join(large, ["block", "value"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("fp", *keep), F.col("pieces")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     return cut.select(
         "block",
@@ -181,6 +181,7 @@ def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> DataFram
         F.greatest("own", "other").alias("two"),
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role"),
         "fp",
+        *keep,
     )
 
 
