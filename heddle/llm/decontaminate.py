@@ -3,11 +3,13 @@
 The small side is indexed: test items, cut into units, by BM25 impacts that are
 divided by the unit's own full score, so that one threshold suits all. Every
 passage of the corpus is a query. Term numbers rise with a term's largest
-impact; the low terms of a passage whose largest impacts together stay below
-the threshold can't lift any unit over it alone, so only the postings of the
-other terms are opened (WAND's pivot), with maxima by block of units (block-max).
-Blocks that stay over the bound are scored exactly, and units over the
-threshold are compared with the passage by word shingles.
+impact; the low terms of a passage whose largest impacts together stay below a
+share of the threshold can't lift any unit over it alone, so only the postings
+of the other terms are opened (WAND's pivot), with maxima by block of units
+(block-max), and the low terms count with their largest impacts.
+The units of blocks that stay over the bound are scored exactly, and those over
+the threshold are compared with the passage by word shingles. All of it runs on
+arrays over many passages at once.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +32,11 @@ THRESHOLD = 0.5  # of a unit's own full score
 SHINGLE, OVERLAP = 5, 0.8
 ANSWER = 0.5
 UNIT = 128  # words of a unit at most
-BLOCK = 8  # units of a block
+BLOCK = 2  # units of a block
+SHUT = 0.1  # of the threshold: what a passage's low terms may add up to, their postings being left shut
 ITEMS_AT_ONCE = 20_000  # in one broadcast index
 WORDS_AT_ONCE = 400_000
+DENSE = 1 << 22  # (passage, unit) cells that are summed in an array of their own
 
 
 def shingles_of(words: Sequence[bytes], width: int = SHINGLE) -> list[bytes]:
@@ -73,85 +78,119 @@ class Index:
         self.unit_item = [i for i, _ in units]
         df = Counter(t for _, c in units for t in c)
         average = sum(sum(c.values()) for _, c in units) / max(1, len(units))
-        self.impact: list[dict[bytes, float]] = []
-        for _, c in units:
+        impacts: list[tuple[bytes, int, float]] = []
+        best: dict[bytes, float] = {}
+        for u, (_, c) in enumerate(units):
             norm = K1 * (1 - B + B * sum(c.values()) / average)
             raw = {t: math.log(1 + (len(units) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm) for t, n in c.items()}
             full = sum(raw.values())
-            self.impact.append({t: x / full for t, x in raw.items()})
-        best: dict[bytes, float] = {}
-        block_best: dict[tuple[bytes, int], float] = {}
-        for u, impacts in enumerate(self.impact):
-            for t, x in impacts.items():
-                best[t] = max(best.get(t, 0.0), x)
-                key = (t, u // BLOCK)
-                block_best[key] = max(block_best.get(key, 0.0), x)
+            for t, x in raw.items():
+                impacts.append((t, u, x / full))
+                best[t] = max(best.get(t, 0.0), x / full)
         terms = sorted(best, key=lambda t: (best[t], t))
         self.term = {t: i for i, t in enumerate(terms)}
         self.best = np.array([best[t] for t in terms])
-        rows = sorted((self.term[t], b, x) for (t, b), x in block_best.items())
-        self.first = np.searchsorted(np.array([r[0] for r in rows], dtype=np.int64), np.arange(len(terms) + 1))
-        self.block = np.array([r[1] for r in rows], dtype=np.int64)
-        self.block_best = np.array([r[2] for r in rows])
-        self.blocks = -(-len(units) // BLOCK)
-
-    def candidates(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passage, block) pairs whose bound reaches the threshold, from the terms of passages (-1: not in the index)."""
+        postings = sorted((self.term[t], u, x) for t, u, x in impacts)
+        number = np.array([x[0] for x in postings], dtype=np.int64)
+        self.unit = np.array([x[1] for x in postings], dtype=np.int64)
+        self.impact = np.array([x[2] for x in postings])
+        self.units, self.blocks = len(units), -(-len(units) // BLOCK)
+        # runs of postings of one term and block: first[t] is a term's first run, begin[r] a run's first posting
+        run, self.begin = np.unique(number * self.blocks + self.unit // BLOCK, return_index=True)
+        self.block_best = np.maximum.reduceat(self.impact, self.begin) if len(run) else np.empty(0)
+        self.block = run % max(1, self.blocks)
+        self.first = np.searchsorted(run, np.arange(len(terms) + 1) * self.blocks)
+        self.begin = np.append(self.begin, len(postings))
+
+    def matches(self, tile: np.ndarray, term: np.ndarray, goes_on: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, unit, score) of the scores that reach the threshold.
+
+        ``tile``, ``term``: a pair for each word, the term -1 if it isn't in the
+        index. Passage i is tile i, with tile i + 1 where ``goes_on[i]``.
+        """
+        none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         known = term >= 0
-        pairs = np.unique(passage[known] * len(self.best) + term[known])
-        p, t = np.divmod(pairs, max(1, len(self.best)))
-        if not len(p):
-            return p, p
+        width = max(1, len(self.best))
+        pairs = np.unique(tile[known] * width + term[known])
+        if not len(pairs):
+            return none
+        tiles, t = np.divmod(pairs, width)
         best = self.best[t]
-        fresh = np.ones(len(p), bool)
-        fresh[1:] = p[1:] != p[:-1]
+        fresh = np.ones(len(t), bool)
+        fresh[1:] = tiles[1:] != tiles[:-1]
         start = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
         total = np.cumsum(best)
-        low = total - (total[start] - best[start])  # impacts so far of the passage, this term's included
+        low = total - (total[start] - best[start])  # impacts so far of the tile, this term's included
         slack = 1e-9 * (1 + total[-1])
-        opened = low >= self.threshold - slack
-        shut = np.bincount(p[~opened], weights=best[~opened], minlength=p[-1] + 1)
-        p, t = p[opened], t[opened]
-        n = self.first[t + 1] - self.first[t]
-        at = np.arange(n.sum()) + np.repeat(self.first[t] - (np.cumsum(n) - n), n)
-        key, back = np.unique(np.repeat(p, n) * self.blocks + self.block[at], return_inverse=True)
-        bound = np.bincount(back, weights=self.block_best[at], minlength=len(key)) if len(key) else np.empty(0)
-        owner = key // self.blocks
-        good = bound + shut[owner] >= self.threshold - slack
-        return owner[good], key[good] % self.blocks
+        opened = low >= SHUT * self.threshold / 2 - slack
+        shut = np.bincount(tiles[~opened], weights=best[~opened], minlength=len(goes_on))
+        shut[:-1] += shut[1:] * goes_on[:-1]
+
+        def spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Which range, and place, of every place in the ranges."""
+            n = end - begin
+            which = np.repeat(np.arange(len(n)), n)
+            return which, np.arange(len(which)) + (begin - (np.cumsum(n) - n))[which]
+
+        def summed(key: np.ndarray, weights: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+            if size <= DENSE:
+                sums = np.bincount(key, weights=weights, minlength=size)
+                at = np.flatnonzero(sums)
+                return at, sums[at]
+            at, back = np.unique(key, return_inverse=True)
+            return at, np.bincount(back, weights=weights, minlength=len(at))
+
+        def with_next(owner: np.ndarray) -> np.ndarray:
+            """Places of what also belongs to the passage before its own."""
+            return np.flatnonzero((owner > 0) & goes_on[owner - 1])
+
+        which, at = spread(self.first[t[opened]], self.first[t[opened] + 1])
+        key, bound = summed(tiles[opened][which] * self.blocks + self.block[at], self.block_best[at], len(goes_on) * self.blocks)
+        more = with_next(key // self.blocks)
+        key, bound = summed(np.concatenate([key, key[more] - self.blocks]), np.concatenate([bound, bound[more]]), len(goes_on) * self.blocks)
+        key = key[bound + shut[key // self.blocks] >= self.threshold - slack]
+        if not len(key):
+            return none
+        # the exact scores: all terms of the passages that are left, in the blocks that are left
+        more = with_next(tiles)
+        p, t = np.concatenate([tiles, tiles[more] - 1]), np.concatenate([t, t[more]])
+        left = np.zeros(len(goes_on), bool)
+        left[key // self.blocks] = True
+        left = left[p]
+        p, t = np.divmod(np.unique(p[left] * width + t[left]), width)
+        which, at = spread(self.first[t], self.first[t + 1])
+        cell = p[which] * self.blocks + self.block[at]
+        found = np.minimum(np.searchsorted(key, cell), len(key) - 1)
+        ok = key[found] == cell
+        owner, at = p[which[ok]], at[ok]
+        which, at = spread(self.begin[at], self.begin[at + 1])
+        key, score = summed(owner[which] * self.units + self.unit[at], self.impact[at], len(goes_on) * self.units)
+        good = score >= self.threshold - 1e-9
+        return key[good] // self.units, key[good] % self.units, score[good]
 
     def leaks(self, docs: list[list[bytes]]) -> list[tuple[int, int, float, float, float]]:
         """(document, item id, score, share of the question's shingles, of the answer's) of the leaks in ``docs``."""
-        tile, look = self.tile, self.term.get
-        terms, passages, spans = [], [], []
-        for d, words in enumerate(docs):
-            # a passage is two tiles and starts at every tile: it holds any unit whole
-            n = max(1, -(-len(words) // tile) - 1)
-            number = len(spans)
-            spans += [(d, i * tile) for i in range(n)]
-            found = np.fromiter((look(w, -1) for w in words), np.int64, len(words))
-            place = np.arange(len(words)) // tile
-            for shift in (0, 1):
-                ok = (place >= shift) & (place - shift < n)
-                terms.append(found[ok])
-                passages.append(number + place[ok] - shift)
-        if not terms:
+        size, look = self.tile, self.term.get
+        lengths = np.array([len(words) for words in docs])
+        tiles = -(-lengths // size)  # two tiles in a row hold any unit whole
+        before = np.cumsum(tiles) - tiles
+        total = int(lengths.sum())
+        if not total:
             return []
+        term = np.fromiter(map(look, chain.from_iterable(docs), repeat(-1)), np.int64, total)
+        place = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        tile = np.repeat(before, lengths) + place // size
+        owner = np.repeat(np.arange(len(docs)), tiles)
+        goes_on = np.append(owner[1:] == owner[:-1], False)
         got: dict[tuple[int, int], tuple[float, set]] = {}
-        by_passage: dict[int, list[int]] = defaultdict(list)
-        for p, b in zip(*(x.tolist() for x in self.candidates(np.concatenate(passages), np.concatenate(terms)))):
-            by_passage[p].append(b)
-        for p, blocks in by_passage.items():
-            d, at = spans[p]
-            words = docs[d][at : at + 2 * tile]
-            seen = set(words)
-            over: dict[int, float] = {}
-            for u in (u for b in blocks for u in range(b * BLOCK, min((b + 1) * BLOCK, len(self.impact)))):
-                score = sum(x for t, x in self.impact[u].items() if t in seen)
-                if score >= self.threshold - 1e-9:
-                    over[self.unit_item[u]] = max(score, over.get(self.unit_item[u], 0.0))
-            if not over:
-                continue
+        by_passage: dict[int, dict[int, float]] = defaultdict(dict)
+        for p, u, x in zip(*(v.tolist() for v in self.matches(tile, term, goes_on))):
+            item = self.unit_item[u]
+            by_passage[p][item] = max(x, by_passage[p].get(item, 0.0))
+        for p, over in by_passage.items():
+            d = int(owner[p])
+            at = (p - int(before[d])) * size
+            words = docs[d][at : at + 2 * size]
             for s in set(shingles_of(words)):
                 for item, place in self.shingles.get(s, ()):
                     if item in over:

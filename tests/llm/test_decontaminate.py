@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from heddle.llm import decontaminate as D
 from heddle.llm.words import words_of
@@ -55,16 +56,27 @@ def test_finds_what_pairs_find(spark):
     assert {(r.id, r.item_id) for r in run(spark, docs, items, items_at_once=7)}.issuperset(got)
 
 
-def test_bound_never_loses_a_unit():
+@pytest.mark.parametrize("dense", [0, D.DENSE])
+def test_scores_are_those_of_all_units(monkeypatch, dense):
+    monkeypatch.setattr(D, "DENSE", dense)
     docs, items = synthetic()
     index = D.Index(items)
-    for _, text in docs:
-        words = words_of(text)[: 2 * index.tile]
-        term = np.array([index.term.get(w, -1) for w in words], dtype=np.int64)
-        _, blocks = index.candidates(np.zeros(len(words), np.int64), term)
-        for u, impact in enumerate(index.impact):
-            if sum(x for t, x in impact.items() if t in set(words)) >= index.threshold:
-                assert u // D.BLOCK in set(blocks.tolist())
+    terms, passages, places, want = [], [], [], {}
+    for p, (_, text) in enumerate(docs):
+        words = words_of(text)[:118]
+        places += range(len(words))
+        terms += [index.term.get(w, -1) for w in words]
+        passages += [p] * len(words)
+        score = np.zeros(index.units)
+        for t in {index.term[w] for w in words if w in index.term}:
+            run = slice(index.begin[index.first[t]], index.begin[index.first[t + 1]])
+            np.add.at(score, index.unit[run], index.impact[run])
+        want |= {(p, u): x for u, x in enumerate(score) if x >= index.threshold}
+    tiles = [2 * p + n // 59 for p, n in zip(passages, places)]
+    got = index.matches(np.array(tiles), np.array(terms), np.arange(2 * len(docs)) % 2 == 0)
+    got = [(p // 2, u, x) for p, u, x in zip(*got) if p % 2 == 0]
+    assert {(int(p), int(u)): pytest.approx(x) for p, u, x in got} == want and len(want) > 20
+    assert all(np.isclose(sum(index.impact[index.unit == u]), 1) for u in range(index.units))
 
 
 def test_answers_count(spark):
