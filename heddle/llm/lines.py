@@ -3,9 +3,10 @@
 Normalised lines get a digest and a SimHash in the pass that reads the texts.
 Distinct lines are joined on pigeonhole blocks of the SimHash; only lines that
 have a neighbour within the radius come into question, so only their texts are
-fetched, through a bitmap of fixed size. Candidate pairs are verified by edit
-similarity, pairs that are linked already by others aren't, and each connected
-group keeps its first occurrence.
+fetched, through a bitmap of fixed size. Pairs are verified by edit similarity,
+each line with its smallest neighbour first; of the other pairs only those
+whose lines these links leave apart need it. Each connected group keeps its
+first occurrence.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heddle.llm.components import components
 from heddle.llm.shared import stored
@@ -185,13 +187,41 @@ def _numeric(rows: pa.Table) -> dict[str, np.ndarray]:
 
 
 def _neighbours(radius: int):
+    """Rows that have a neighbour, and in ``low`` the smallest digest among a row and its neighbours."""
+
     def work(rows: pa.Table) -> pa.RecordBatch:
-        table = _numeric(rows)
-        has = np.zeros(len(rows), bool)
+        table, digest = _numeric(rows), rows.column("digest").to_numpy()
+        low, has = digest.copy(), np.zeros(len(rows), bool)
         for a, b in _pairs(table, radius):
             has[a] = has[b] = True
-        kept = rows.filter(pa.array(has)).combine_chunks()
-        return (kept.to_batches() or [pa.RecordBatch.from_pylist([], rows.schema)])[0]
+            np.minimum.at(low, a, digest[b])
+            np.minimum.at(low, b, digest[a])
+        at = np.flatnonzero(has)
+        return pa.RecordBatch.from_arrays([*(rows.column(k).combine_chunks().take(pa.array(at)) for k in rows.schema.names), pa.array(low[at])], [*rows.schema.names, "low"])
+
+    return work
+
+
+def _similar_rows(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [similar(x.as_py(), y.as_py(), least) for x, y in zip(batch.column("ta"), batch.column("tb"))]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _apart(radius: int):
+    """Rows that have a neighbour of another label."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        table, label = _numeric(rows), rows.column("label").to_numpy()
+        has = np.zeros(len(rows), bool)
+        for a, b in _pairs(table, radius):
+            other = label[a] != label[b]
+            has[a[other]] = has[b[other]] = True
+        at = pa.array(np.flatnonzero(has))
+        return pa.RecordBatch.from_arrays([rows.column(k).combine_chunks().take(at) for k in rows.schema.names], rows.schema.names)
 
     return work
 
@@ -199,25 +229,22 @@ def _neighbours(radius: int):
 def _verified(radius: int, least: float):
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest, text = _numeric(rows), rows.column("digest").to_numpy(), rows.column("t")
-        texts: dict[int, str] = {}
-        parent = list(range(len(digest)))
+        _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
+        parent = list(range(int(label.max()) + 1)) if len(label) else []
 
         def root(i: int) -> int:
             while parent[i] != i:
                 parent[i] = i = parent[parent[i]]
             return i
 
-        def line(i: int) -> str:
-            if i not in texts:
-                texts[i] = text[i].as_py()
-            return texts[i]
-
+        found = []
         for a, b in _pairs(table, radius):
-            for i, j in zip(a.tolist(), b.tolist()):
-                x, y = root(i), root(j)
-                if x != y and similar(line(i), line(j), least):
+            other = label[a] != label[b]
+            for i, j in zip(a[other].tolist(), b[other].tolist()):
+                x, y = root(int(label[i])), root(int(label[j]))
+                if x != y and similar(text[i].as_py(), text[j].as_py(), least):
                     parent[max(x, y)] = min(x, y)
-        found = [(digest[i], digest[r]) for i in range(len(digest)) if (r := root(i)) != i]
+                    found.append((digest[i], digest[j]))
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return work
@@ -272,12 +299,23 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["block", "value", "one", "two"]
     dealt = shards(distinct, radius, piece, keep=["digest"]).repartition(parts, *order).sortWithinPartitions(*order)
-    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(radius), 50_000), dealt.schema), "near")
-    bitmap = spark.sparkContext.broadcast(_bitmap(near.select("digest").distinct()))
+    kind = T.StructType([*dealt.schema.fields, T.StructField("low", T.LongType())])
+    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(radius), 50_000), kind), "near")
+    first = stored(near.groupBy("digest").agg(F.min("low").alias("low")), "first")
+    bitmap = spark.sparkContext.broadcast(_bitmap(first.select("digest")))
     fetched = docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
     fetched = stored(fetched.groupBy("digest").agg(F.first("t").alias("t")).withColumnRenamed("digest", "of"), "fetched")
-    again = near.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *order).sortWithinPartitions(*order)
-    links = stored(again.mapInArrow(_whole_shards(_verified(radius, least), 4_000), "a long, b long"), "links")
+    pairs = first.where("low < digest").select(F.col("digest").alias("a"), F.col("low").alias("b"))
+    pairs = pairs.join(fetched.withColumnRenamed("t", "ta"), F.col("a") == F.col("of")).drop("of")
+    pairs = pairs.join(fetched.withColumnRenamed("t", "tb"), F.col("b") == F.col("of")).drop("of")
+    stars = stored(pairs.mapInArrow(_similar_rows(least), "a long, b long"), "stars")
+    labels = stored(components(stars), "labels")
+    rest = near.drop("low").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
+    rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *order).sortWithinPartitions(*order)
+    rest = stored(rest.mapInArrow(_whole_shards(_apart(radius), 50_000), rest.schema), "rest")
+    again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *order).sortWithinPartitions(*order)
+    more = stored(again.mapInArrow(_whole_shards(_verified(radius, least), 4_000), "a long, b long"), "links")
+    links = stars.union(more)
     roots = stored(components(links), "roots")
 
     grouped = seen.drop("sim").join(roots, F.col("digest") == F.col("node"), "left")
