@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heddle.llm.words import words_of
 from heddle.sources import read_table
@@ -175,13 +176,14 @@ def _score(weights: dict[int, float], model: CumulativeLink):
             over = np.full(len(scores), float(low > 0))  # P(grade > 0)
             if low <= 0 and len(grades) > 1:
                 over = above[:, int(np.searchsorted(grades, 0, side="right")) - 1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(severity), pa.array(over)], ["id", "text_hash", "severity", "p_toxic"])
+            names = [n for n in batch.schema.names if n != "t"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(severity), pa.array(over)], [*names, "severity", "p_toxic"])
 
     return run
 
 
-def severity(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", sample: int = SAMPLE) -> DataFrame:
-    """(id, text_hash, severity double, p_toxic double): a row for each row of ``docs``.
+def severity(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", sample: int = SAMPLE, carry: bool = False) -> DataFrame:
+    """(id, text_hash, severity double, p_toxic double): a row for each row of ``docs``, with ``carry`` as struct ``row`` beside it.
 
     ``grades``: a row for each label, integer grades, 0 is clean; a document
     with several labels counts with each. severity is the expected grade,
@@ -192,8 +194,11 @@ def severity(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_co
     """
     weights, model = train(docs, grades, id_col, text_col, grade_col, sample)
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
-    return rows.mapInArrow(_score(weights, model), "id long, text_hash long, severity double, p_toxic double")
+    own = [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"), *own)
+    kept = [f for f in rows.schema.fields if f.name != "t"]
+    kind = T.StructType([*kept, T.StructField("severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
+    return rows.mapInArrow(_score(weights, model), kind)
 
 
 def graded(labels: DataFrame) -> DataFrame:
