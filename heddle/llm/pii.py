@@ -99,6 +99,11 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.select("id", "digest", F.concat(*spans).alias("spans"))
 
 
+def _disclosure(texts: int, of_term: str) -> Column:
+    """PMI / IC of a pair of entity and term."""
+    return 1 + F.log2(F.col("n_pair") / F.col(of_term)) / F.log2(F.lit(texts) / F.col("n_entity"))
+
+
 def disclosing_terms(docs: DataFrame, base: DataFrame, text_col: str = "text") -> DataFrame | None:
     """(digest, terms array<string>) of the texts that hold terms which disclose an entity; None if there is no candidate.
 
@@ -115,7 +120,11 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, text_col: str = "text") -
     entities = stored(entities, "entities")
     pairs = near.join(entities, "entity").select("digest", "entity", "n_entity", F.explode("terms").alias("term")).where(F.length("term") > 2).distinct()
     pairs = pairs.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= MIN_TEXTS)
-    pairs = stored(pairs, "pairs")
+    texts = base.select("digest").distinct().count()
+    # a term has as many texts at least as it has near any entity: what falls short by these falls short by all
+    around = near.select("digest", F.explode("terms").alias("word")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n_near"))
+    pairs = pairs.join(stored(around, "around"), F.col("term") == F.col("word"))
+    pairs = stored(pairs.where((F.col("n_entity") < texts) & (_disclosure(texts, "n_near") >= DISCLOSED)).drop("word", "n_near"), "pairs")
     terms = stored(pairs.select("term").distinct(), "terms")
     passes = -(-terms.count() // TERMS_AT_ONCE)
     if not passes:
@@ -127,10 +136,8 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, text_col: str = "text") -
         part = words.join(F.broadcast(terms.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == i)), "term", "left_semi")
         held = part if held is None else held.union(part)
     held = stored(held.distinct(), "held")
-    texts = base.select("digest").distinct().count()
     counts = stored(held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "counts")
-    gain = 1 + F.log2(F.col("n_pair") / F.col("n_term")) / F.log2(F.lit(texts) / F.col("n_entity"))
-    telling = stored(pairs.join(counts, "term").where((F.col("n_entity") < texts) & (gain >= DISCLOSED)).select("term").distinct(), "telling")
+    telling = stored(pairs.join(counts, "term").where(_disclosure(texts, "n_term") >= DISCLOSED).select("term").distinct(), "telling")
     return stored(held.join(telling, "term").groupBy("digest").agg(F.sort_array(F.collect_set("term")).alias("terms")), "telling_by_text")
 
 
