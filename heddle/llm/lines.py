@@ -44,18 +44,19 @@ def line_digest(line: str) -> int:
 
 
 def simhashes(lines: list[str]) -> np.ndarray:
-    """64-bit SimHash of each line's words."""
+    """64-bit SimHash of each line's distinct words, those without a letter or digit left out: bars of a table say nothing."""
     out = np.zeros(len(lines), np.uint64)
     known: dict[str, int] = {}
     start = 0
     while start < len(lines):
         stop, hashes, ends = start, [], []
         while stop < len(lines) and len(hashes) < WORDS_AT_ONCE:
-            for w in lines[stop].split():
+            for w in set(lines[stop].split()):
                 h = known.get(w)
                 if h is None:
-                    h = known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 1)
-                hashes.append(h)
+                    h = known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 1) if any(map(str.isalnum, w)) else -1
+                if h >= 0:
+                    hashes.append(h)
             ends.append(len(hashes))
             stop += 1
         ends = np.array(ends)
