@@ -39,3 +39,9 @@ def drop(*tables: DataFrame) -> None:
         if path:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application, once its results are written elsewhere."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/heddle/{spark.sparkContext.applicationId}")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
