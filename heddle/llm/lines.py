@@ -47,26 +47,40 @@ def simhashes(lines: list[str]) -> np.ndarray:
     """64-bit SimHash of each line's distinct words, those without a letter or digit left out: bars of a table say nothing."""
     out = np.zeros(len(lines), np.uint64)
     known: dict[str, int] = {}
+    hashes: list[int] = []
+    words: list[int] = []
+    ends = np.zeros(len(lines), np.int64)
+    for n, line in enumerate(lines):
+        for w in set(line.split()):
+            k = known.get(w)
+            if k is None:
+                k = -1
+                if any(map(str.isalnum, w)):
+                    k = len(hashes)
+                    hashes.append(xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 1))
+                known[w] = k
+            if k >= 0:
+                words.append(k)
+        ends[n] = len(words)
+    if not words:
+        return out
+    # a row of 64 votes for each known word; eight votes are added in one 64-bit number, by runs of 255 words at most
+    rows = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+    number = np.array(words)
+    begins = np.concatenate([[0], ends[:-1]])
+    full = np.flatnonzero(ends > begins)
     start = 0
-    while start < len(lines):
-        stop, hashes, ends = start, [], []
-        while stop < len(lines) and len(hashes) < WORDS_AT_ONCE:
-            for w in set(lines[stop].split()):
-                h = known.get(w)
-                if h is None:
-                    h = known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 1) if any(map(str.isalnum, w)) else -1
-                if h >= 0:
-                    hashes.append(h)
-            ends.append(len(hashes))
-            stop += 1
-        ends = np.array(ends)
-        begins = np.concatenate([[0], ends[:-1]])
-        full = ends > begins
-        if full.any():
-            bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            votes = np.add.reduceat(bits, begins[full], axis=0, dtype=np.int32)
-            packed = np.packbits(2 * votes > (ends - begins)[full, None], axis=1)
-            out[start:stop][full] = packed.view(">u8").ravel().astype(np.uint64)
+    while start < len(full):
+        stop = max(start + 1, int(np.searchsorted(ends[full], begins[full[start]] + WORDS_AT_ONCE)))
+        own = full[start:stop]
+        low = begins[own[0]]
+        runs = -(-(ends - begins)[own] // 255)
+        first = np.cumsum(runs) - runs
+        at = np.repeat(begins[own] - low, runs) + 255 * (np.arange(runs.sum()) - np.repeat(first, runs))
+        votes = np.add.reduceat(rows[number[low : ends[own[-1]]]], at, axis=0).view(np.uint8)
+        votes = np.add.reduceat(votes, first, axis=0, dtype=np.int32)
+        packed = np.packbits(2 * votes > (ends - begins)[own, None], axis=1)
+        out[own] = packed.view(">u8").ravel().astype(np.uint64)
         start = stop
     return out
 
