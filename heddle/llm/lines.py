@@ -1,12 +1,12 @@
 """Line dedup with fuzzy lines.
 
-Normalised lines get a digest and a SimHash in the pass that reads the texts.
-Distinct lines are joined on pigeonhole blocks of the SimHash; only lines that
-have a neighbour within the radius come into question, so only their texts are
-fetched, through a bitmap of fixed size. Pairs are verified by edit similarity,
-each line with its smallest neighbour first; of the other pairs only those
-whose lines these links leave apart need it. Each connected group keeps its
-first occurrence.
+Normalised lines get a digest and a MinHash sketch of their character grams in
+the pass that reads the texts. Distinct lines are joined on bands of the sketch;
+only lines with a neighbour whose sketch and length allow the similarity come
+into question, so only their texts are fetched, through a bitmap of fixed size.
+Pairs are verified by edit similarity, each line with its smallest neighbour
+first; of the other pairs only those whose lines these links leave apart need
+it. Each connected group keeps its first occurrence.
 """
 
 from __future__ import annotations
@@ -22,16 +22,19 @@ from pyspark.sql import types as T
 
 from heddle.llm.components import components
 from heddle.llm.shared import stored
-from heddle.llm.simhash import shards
 from heddle.sources import read_table
 
 RADIUS = 3
+GRAM = 8  # characters
+BINS = 32  # of the sketch; a band is two of them
+AGREE = 6  # bins, of 4 bits each, that a pair shares at least to be verified
 SIMILAR = 0.8  # 1 - edits / length of the longer line
 MIN_WORDS = 3
 PIECE = 512
 BITMAP = 1 << 24  # bits
 PAIRS = 1 << 18  # looked at together
 WORDS_AT_ONCE = 100_000
+CHARS_AT_ONCE = 1 << 20
 
 
 def normal(line: str) -> str:
@@ -85,6 +88,66 @@ def simhashes(lines: list[str]) -> np.ndarray:
     return out
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _sketched(lines: list[str]) -> np.ndarray:
+    pad = "\0" * (GRAM - 1)
+    text = pad + pad.join(lines) + pad
+    h = _mixed(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
+    width = 1
+    while width < GRAM:
+        h[:-width] = _mixed(h[:-width] * np.uint64(0x100000001B3) + h[width:])
+        width *= 2
+    # as many grams as characters: those that begin before a line hold its first ones only
+    n = np.array([len(x) for x in lines])
+    begins = np.cumsum(n + GRAM - 1) - (n + GRAM - 1)
+    line = np.repeat(np.arange(len(lines)), n)
+    gram = h[np.repeat(begins, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    none = np.uint64(2**64 - 1)
+    low = np.full(len(lines) * BINS, none)
+    np.minimum.at(low, line * BINS + (gram % np.uint64(BINS)).astype(np.int64), gram)
+    low = low.reshape(-1, BINS)
+    # an empty bin takes the next one that is not, and its distance
+    at = np.where(low == none, 2 * BINS, np.arange(BINS))
+    after = np.minimum.accumulate(np.concatenate([at, at + BINS], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :BINS]
+    return _mixed(np.take_along_axis(low, after % BINS, axis=1) + (after - np.arange(BINS)).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
+def sketches(lines: list[str]) -> np.ndarray:
+    """BINS minima of each line's hashed GRAM-character grams, one permutation cut into bins. Lines are not empty."""
+    out, start, held = [np.empty((0, BINS), np.uint64)], 0, 0
+    for stop, line in enumerate(lines, 1):
+        held += len(line)
+        if held >= CHARS_AT_ONCE or stop == len(lines):
+            out.append(_sketched(lines[start:stop]))
+            start, held = stop, 0
+    return np.concatenate(out)
+
+
+def bands(sketch: np.ndarray) -> np.ndarray:
+    """BINS / 2 bands (int32) of each sketch: two bins that stand apart, as empty bins resemble their neighbours."""
+    half = BINS // 2
+    return _mixed(sketch[:, :half] * np.uint64(31) + sketch[:, half:]).astype(np.uint32).view(np.int32)
+
+
+def nibbles(sketch: np.ndarray) -> np.ndarray:
+    """4 bits of each bin, 16 bins a number."""
+    shift = np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce((sketch & np.uint64(15)).reshape(len(sketch), BINS // 16, 16) << shift, axis=2)
+
+
+def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the 16 nibbles of x and y are equal."""
+    d = x ^ y
+    d |= d >> np.uint64(1)
+    d |= d >> np.uint64(2)
+    return 16 - np.bitwise_count(d & np.uint64(0x1111111111111111)).astype(np.int64)
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or some number over ``most`` if it is more than that (Myers' bit vectors)."""
     if abs(len(a) - len(b)) > most:
@@ -124,7 +187,7 @@ def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _lines(min_words: int):
+def _lines(min_words: int, radius: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             which, number, lines = [], [], []
@@ -137,14 +200,42 @@ def _lines(min_words: int):
                         lines.append(line)
             digest = np.array([line_digest(x) for x in lines], dtype=np.uint64)
             rows = pa.array(which, pa.int64())
+            # a line's sketch stands at its first occurrence in the batch
+            _, once = np.unique(digest, return_index=True)
+            sketch = sketches([lines[k] for k in once.tolist()])
+            place = np.full(len(lines), -1)
+            place[once] = np.arange(len(once))
+            at = pa.array(place, mask=place < 0)
+            values = pa.array(bands(sketch).ravel())
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(once) + 1, dtype=np.int32) * (BINS // 2)), values)
+            halves = nibbles(sketch).view(np.int64)
+            sim = pa.nulls(len(lines), pa.int64()) if radius is None else pa.array(simhashes(lines).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(digest.view(np.int64)), pa.array(simhashes(lines).view(np.int64))],
-                ["id", "text_hash", "line", "digest", "sim"],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(digest.view(np.int64)), pa.array([len(x) for x in lines], pa.int32())]
+                + [pa.array(np.ascontiguousarray(halves[:, k])).take(at) for k in (0, 1)]
+                + [listed.take(at), sim],
+                ["id", "text_hash", "line", "digest", "chars", "low_bins", "high_bins", "bands", "sim"],
             )
 
     return run
 
 
+def shards(distinct: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Lines dealt to the shards of their bands: (block, value, one, two, role, digest, chars, low_bins, high_bins, sim).
+
+    Shards of over ``piece`` lines are cut as in simhash.shards().
+    """
+    kept = ["digest", "chars", "low_bins", "high_bins", "sim"]
+    rows = distinct.select(*kept, F.posexplode("bands").alias("block", "value"))
+    count = rows.groupBy("block", "value").count().where(F.col("count") > piece)
+    large = count.select("block", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
+    cut = rows.join(large, ["block", "value"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("pieces")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    role = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role")
+    return cut.select("block", "value", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, *kept)
+
+
 def _groups(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """First and last-but-one row of each shard task in sorted rows."""
     fresh = np.ones(len(table["block"]), bool)
@@ -153,8 +244,8 @@ def _groups(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(fresh))
 
 
-def _pairs(table: dict[str, np.ndarray], radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of the same shard task, one of them in the tree and the other a query, within ``radius`` bits."""
+def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the same shard task, one of them in the tree and the other a query, whose lengths allow a similarity of ``least`` and whose sketches agree in AGREE bins, and SimHashes but for ``radius`` bits."""
     first, last = _groups(table)
     end = np.repeat(last, last - first)
     left = np.flatnonzero(end - np.arange(len(end)) > 1)
@@ -167,8 +258,13 @@ def _pairs(table: dict[str, np.ndarray], radius: int) -> Iterator[tuple[np.ndarr
         a = np.repeat(left[start:stop], n)
         b = a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         start = stop
-        near = np.bitwise_count(table["fp"][a] ^ table["fp"][b]) <= radius
-        near &= (table["role"][a] == 0) | (table["role"][a] != table["role"][b])
+        near = (table["role"][a] == 0) | (table["role"][a] != table["role"][b])
+        x, y = table["chars"][a], table["chars"][b]
+        near &= np.abs(x - y) <= (1 - least) * np.maximum(x, y) + 1e-9
+        a, b = a[near], b[near]
+        near = sum(agreeing(table[k][a], table[k][b]) for k in ("low_bins", "high_bins")) >= AGREE
+        if radius is not None:
+            near &= np.bitwise_count(table["sim"][a] ^ table["sim"][b]) <= radius
         yield a[near], b[near]
 
 
@@ -197,17 +293,17 @@ def _whole_shards(work, at_once: int):
 
 
 def _numeric(rows: pa.Table) -> dict[str, np.ndarray]:
-    table = {k: rows.column(k).to_numpy() for k in ("block", "value", "one", "two", "role")}
-    return table | {"fp": rows.column("fp").to_numpy().view(np.uint64)}
+    table = {k: rows.column(k).to_numpy() for k in ("block", "value", "one", "two", "role", "chars")}
+    return table | {k: rows.column(k).fill_null(0).to_numpy().view(np.uint64) for k in ("low_bins", "high_bins", "sim")}
 
 
-def _neighbours(radius: int):
+def _neighbours(least: float, radius: int | None):
     """Rows that have a neighbour, and in ``low`` the smallest digest among a row and its neighbours."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest = _numeric(rows), rows.column("digest").to_numpy()
         low, has = digest.copy(), np.zeros(len(rows), bool)
-        for a, b in _pairs(table, radius):
+        for a, b in _pairs(table, least, radius):
             has[a] = has[b] = True
             np.minimum.at(low, a, digest[b])
             np.minimum.at(low, b, digest[a])
@@ -226,13 +322,13 @@ def _similar_rows(least: float):
     return run
 
 
-def _apart(radius: int):
+def _apart(least: float, radius: int | None):
     """Rows that have a neighbour of another label."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, label = _numeric(rows), rows.column("label").to_numpy()
         has = np.zeros(len(rows), bool)
-        for a, b in _pairs(table, radius):
+        for a, b in _pairs(table, least, radius):
             other = label[a] != label[b]
             has[a[other]] = has[b[other]] = True
         at = pa.array(np.flatnonzero(has))
@@ -241,7 +337,7 @@ def _apart(radius: int):
     return work
 
 
-def _verified(radius: int, least: float):
+def _verified(least: float, radius: int | None):
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest, text = _numeric(rows), rows.column("digest").to_numpy(), rows.column("t")
         _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
@@ -253,7 +349,7 @@ def _verified(radius: int, least: float):
             return i
 
         found = []
-        for a, b in _pairs(table, radius):
+        for a, b in _pairs(table, least, radius):
             other = label[a] != label[b]
             for i, j in zip(a[other].tolist(), b[other].tolist()):
                 x, y = root(int(label[i])), root(int(label[j]))
@@ -294,13 +390,14 @@ def _bitmap(digests: DataFrame) -> bytes:
     return bytes(out)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, least: float = SIMILAR, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, least: float = SIMILAR, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
     """(id, text_hash, lines array<int>): for each document that loses lines, the numbers of those, from 0.
 
     Lines are equal if they are so in lower case and with single spaces. They
-    link if their SimHashes differ in ``radius`` bits at most and their edit
-    similarity is ``least`` or more; a group is what links and equality
-    connect. Its first occurrence stays: smallest id (null last), text hash,
+    link if their edit similarity is ``least`` or more and a band of their
+    sketches agrees (see the README for how many links that misses), and their
+    SimHashes differ in ``radius`` bits at most, which None doesn't ask for; a
+    group is what links and equality connect. Its first occurrence stays: smallest id (null last), text hash,
     line number. Lines of fewer than ``min_words`` words aren't looked at, so
     blank ones stay. Rows of equal id and text count as one document. Other
     columns aren't read. Empty tables and texts lose nothing.
@@ -308,14 +405,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
-    seen = stored(rows.mapInArrow(_lines(min_words), "id long, text_hash long, line int, digest long, sim long"), "lines")
+    seen = stored(rows.mapInArrow(_lines(min_words, radius), "id long, text_hash long, line int, digest long, chars int, low_bins long, high_bins long, bands array<int>, sim long"), "lines")
 
-    distinct = stored(seen.groupBy("digest").agg(F.first("sim").alias("fp")), "distinct")
+    distinct = stored(seen.where("bands is not null").groupBy("digest").agg(*(F.first(c).alias(c) for c in ("chars", "low_bins", "high_bins", "bands", "sim"))), "distinct")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["block", "value", "one", "two"]
-    dealt = shards(distinct, radius, piece, keep=["digest"]).repartition(parts, *order).sortWithinPartitions(*order)
+    dealt = shards(distinct, piece).repartition(parts, *order).sortWithinPartitions(*order)
     kind = T.StructType([*dealt.schema.fields, T.StructField("low", T.LongType())])
-    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(radius), 50_000), kind), "near")
+    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius), 50_000), kind), "near")
     first = stored(near.groupBy("digest").agg(F.min("low").alias("low")), "first")
     bitmap = spark.sparkContext.broadcast(_bitmap(first.select("digest")))
     fetched = docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
@@ -327,13 +424,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     labels = stored(components(stars), "labels")
     rest = near.drop("low").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
     rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *order).sortWithinPartitions(*order)
-    rest = stored(rest.mapInArrow(_whole_shards(_apart(radius), 50_000), rest.schema), "rest")
+    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius), 50_000), rest.schema), "rest")
     again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *order).sortWithinPartitions(*order)
-    more = stored(again.mapInArrow(_whole_shards(_verified(radius, least), 4_000), "a long, b long"), "links")
+    more = stored(again.mapInArrow(_whole_shards(_verified(least, radius), 4_000), "a long, b long"), "links")
     links = stars.union(more)
     roots = stored(components(links), "roots")
 
-    grouped = seen.drop("sim").join(roots, F.col("digest") == F.col("node"), "left")
+    grouped = seen.select("id", "text_hash", "line", "digest").join(roots, F.col("digest") == F.col("node"), "left")
     grouped = stored(grouped.select("id", "text_hash", "line", F.coalesce("root", "digest").alias("group")), "grouped")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "line")
     first = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -353,10 +450,10 @@ def without_lines(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text
 
 
 def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_removed, text of all documents, the repeated lines taken out."""
+    """doc_id, n_lines, n_removed, text of all documents, the repeated lines taken out, whatever their SimHashes."""
     docs = read_table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"), "text")
-    return without_lines(docs, repeated_lines(docs)).select("doc_id", "n_lines", "n_removed", "text")
+    return without_lines(docs, repeated_lines(docs, radius=None)).select("doc_id", "n_lines", "n_removed", "text")
 
 
 QUERIES = {"op10_fuzzy_lines": op10_fuzzy_lines}

@@ -117,3 +117,28 @@ def test_query(spark):
     long = [x for x in left if len(x.split()) >= L.MIN_WORDS]
     assert len(long) == len(set(long)) and {L.normal(x) for t in texts.values() for x in t.split("\n") if len(x.split()) >= 3} >= set(long)
     assert all(r.n_lines == len(texts[r.doc_id].split("\n")) for r in out)
+
+
+def test_recall_against_all_similar_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lines = sorted({L.normal(x) for r in docs.collect() for x in r.text.split("\n") if len(x.split()) >= L.MIN_WORDS})
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a) if abs(len(lines[a]) - len(lines[b])) <= 0.2 * max(len(lines[a]), len(lines[b])) and L.similar(lines[a], lines[b])]
+    sketch = L.sketches(lines)
+    band, half = L.bands(sketch), L.nibbles(sketch)
+    found = [(band[a] == band[b]).any() and L.agreeing(half[a], half[b]).sum() >= L.AGREE for a, b in pairs]
+    print(f"{len(lines)} lines, {len(pairs)} pairs, recall {np.mean(found):.3f}")
+    assert len(pairs) > 20 and np.mean(found) >= 0.95
+
+
+def test_lines_with_a_changed_word_go_whatever_their_simhash(spark):
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 8))) for _ in range(500)]
+    rows = []
+    for d in range(40):
+        w = rng.choice(words, rng.integers(12, 30)).tolist()
+        rows.append((2 * d, " ".join(w)))
+        w[rng.integers(len(w))] = "other"
+        rows.append((2 * d + 1, " ".join(w)))
+    df = spark.createDataFrame([(i, t, "", "", "") for i, t in rows], KIND)
+    assert sorted(r.id for r in L.repeated_lines(df, radius=None).collect()) == [2 * d + 1 for d in range(40)]
+    assert L.repeated_lines(df).count() < 20
