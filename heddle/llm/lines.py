@@ -35,6 +35,7 @@ BITMAP = 1 << 24  # bits
 PAIRS = 1 << 18  # looked at together
 WORDS_AT_ONCE = 100_000
 CHARS_AT_ONCE = 1 << 20
+BROADCAST = 500_000  # bands of more than a piece, of some 50 bytes each; more of them are joined
 
 
 def normal(line: str) -> str:
@@ -228,8 +229,9 @@ def shards(distinct: DataFrame, piece: int = PIECE) -> DataFrame:
     kept = ["digest", "chars", "low_bins", "high_bins", "sim"]
     rows = distinct.select(*kept, F.posexplode("bands").alias("block", "value"))
     count = rows.groupBy("block", "value").count().where(F.col("count") > piece)
-    large = count.select("block", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
-    cut = rows.join(large, ["block", "value"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    large = stored(count.select("block", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "large_bands")
+    # the rows are shuffled once only
+    cut = rows.join(F.broadcast(large) if large.count() <= BROADCAST else large, ["block", "value"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("pieces")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     role = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role")
@@ -453,7 +455,7 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed, text of all documents, the repeated lines taken out, whatever their SimHashes."""
     docs = read_table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"), "text")
-    return without_lines(docs, repeated_lines(docs, radius=None)).select("doc_id", "n_lines", "n_removed", "text")
+    return without_lines(docs, repeated_lines(docs, radius=None, min_words=1)).select("doc_id", "n_lines", "n_removed", "text")
 
 
 QUERIES = {"op10_fuzzy_lines": op10_fuzzy_lines}

@@ -142,3 +142,10 @@ def test_lines_with_a_changed_word_go_whatever_their_simhash(spark):
     df = spark.createDataFrame([(i, t, "", "", "") for i, t in rows], KIND)
     assert sorted(r.id for r in L.repeated_lines(df, radius=None).collect()) == [2 * d + 1 for d in range(40)]
     assert L.repeated_lines(df).count() < 20
+
+
+def test_query_takes_repeats_of_short_lines_out(spark, tmp_path):
+    rows = [(1, "one two\n\nword\n日本語"), (2, "Word\n日本語\n\nnew here\none  two")]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' lang", "'s' source", "length(text) n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.text, r.n_removed) for r in L.op10_fuzzy_lines(spark, str(tmp_path)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nnew here", 3)}
