@@ -11,7 +11,7 @@ it. Each connected group keeps its first occurrence.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -108,8 +108,13 @@ def _sketched(lines: list[str]) -> np.ndarray:
     begins = np.cumsum(n + GRAM - 1) - (n + GRAM - 1)
     line = np.repeat(np.arange(len(lines)), n)
     gram = h[np.repeat(begins, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    return minima(gram, line, len(lines))
+
+
+def minima(gram: np.ndarray, line: np.ndarray, n: int) -> np.ndarray:
+    """Sketches of lines 0..n-1, each with one gram at least: gram k is of line[k]."""
     none = np.uint64(2**64 - 1)
-    low = np.full(len(lines) * BINS, none)
+    low = np.full(n * BINS, none)
     np.minimum.at(low, line * BINS + (gram % np.uint64(BINS)).astype(np.int64), gram)
     low = low.reshape(-1, BINS)
     # an empty bin takes the next one that is not, and its distance
@@ -246,8 +251,8 @@ def _groups(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(fresh))
 
 
-def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of the same shard task, one of them in the tree and the other a query, whose lengths allow a similarity of ``least`` and whose sketches agree in AGREE bins, and SimHashes but for ``radius`` bits."""
+def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None, agree: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the same shard task, one of them in the tree and the other a query, whose lengths allow a similarity of ``least`` and whose sketches agree in ``agree`` bins, and SimHashes but for ``radius`` bits."""
     first, last = _groups(table)
     end = np.repeat(last, last - first)
     left = np.flatnonzero(end - np.arange(len(end)) > 1)
@@ -264,7 +269,7 @@ def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> It
         x, y = table["chars"][a], table["chars"][b]
         near &= np.abs(x - y) <= (1 - least) * np.maximum(x, y) + 1e-9
         a, b = a[near], b[near]
-        near = sum(agreeing(table[k][a], table[k][b]) for k in ("low_bins", "high_bins")) >= AGREE
+        near = sum(agreeing(table[k][a], table[k][b]) for k in ("low_bins", "high_bins")) >= agree
         if radius is not None:
             near &= np.bitwise_count(table["sim"][a] ^ table["sim"][b]) <= radius
         yield a[near], b[near]
@@ -299,13 +304,13 @@ def _numeric(rows: pa.Table) -> dict[str, np.ndarray]:
     return table | {k: rows.column(k).fill_null(0).to_numpy().view(np.uint64) for k in ("low_bins", "high_bins", "sim")}
 
 
-def _neighbours(least: float, radius: int | None):
+def _neighbours(least: float, radius: int | None, agree: int):
     """Rows that have a neighbour, and in ``low`` the smallest digest among a row and its neighbours."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest = _numeric(rows), rows.column("digest").to_numpy()
         low, has = digest.copy(), np.zeros(len(rows), bool)
-        for a, b in _pairs(table, least, radius):
+        for a, b in _pairs(table, least, radius, agree):
             has[a] = has[b] = True
             np.minimum.at(low, a, digest[b])
             np.minimum.at(low, b, digest[a])
@@ -315,22 +320,22 @@ def _neighbours(least: float, radius: int | None):
     return work
 
 
-def _similar_rows(least: float):
+def _similar_rows(least: float, alike: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [similar(x.as_py(), y.as_py(), least) for x, y in zip(batch.column("ta"), batch.column("tb"))]
+            good = [alike(x.as_py(), y.as_py(), least) for x, y in zip(batch.column("ta"), batch.column("tb"))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
-def _apart(least: float, radius: int | None):
+def _apart(least: float, radius: int | None, agree: int):
     """Rows that have a neighbour of another label."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, label = _numeric(rows), rows.column("label").to_numpy()
         has = np.zeros(len(rows), bool)
-        for a, b in _pairs(table, least, radius):
+        for a, b in _pairs(table, least, radius, agree):
             other = label[a] != label[b]
             has[a[other]] = has[b[other]] = True
         at = pa.array(np.flatnonzero(has))
@@ -339,7 +344,7 @@ def _apart(least: float, radius: int | None):
     return work
 
 
-def _verified(least: float, radius: int | None):
+def _verified(least: float, radius: int | None, agree: int, alike: Callable):
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest, text = _numeric(rows), rows.column("digest").to_numpy(), rows.column("t")
         _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
@@ -351,11 +356,11 @@ def _verified(least: float, radius: int | None):
             return i
 
         found = []
-        for a, b in _pairs(table, least, radius):
+        for a, b in _pairs(table, least, radius, agree):
             other = label[a] != label[b]
             for i, j in zip(a[other].tolist(), b[other].tolist()):
                 x, y = root(int(label[i])), root(int(label[j]))
-                if x != y and similar(text[i].as_py(), text[j].as_py(), least):
+                if x != y and alike(text[i].as_py(), text[j].as_py(), least):
                     parent[max(x, y)] = min(x, y)
                     found.append((digest[i], digest[j]))
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
@@ -392,6 +397,33 @@ def _bitmap(digests: DataFrame) -> bytes:
     return bytes(out)
 
 
+def linked(distinct: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Callable, least: float, radius: int | None = None, agree: int = AGREE, piece: int = PIECE) -> DataFrame:
+    """(node, root) of the digests that alike(text, text, least) connects, of pairs whose sketches share a band.
+
+    distinct has a row for each digest, texts gives (digest, t) of the digests
+    that it is asked for, others too. ``chars`` bounds the similarity of a pair.
+    """
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["block", "value", "one", "two"]
+    dealt = shards(distinct, piece).repartition(parts, *order).sortWithinPartitions(*order)
+    kind = T.StructType([*dealt.schema.fields, T.StructField("low", T.LongType())])
+    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius, agree), 50_000), kind), "near")
+    first = stored(near.groupBy("digest").agg(F.min("low").alias("low")), "first")
+    fetched = stored(texts(first.select("digest")).groupBy("digest").agg(F.first("t").alias("t")).withColumnRenamed("digest", "of"), "fetched")
+    pairs = first.where("low < digest").select(F.col("digest").alias("a"), F.col("low").alias("b"))
+    pairs = pairs.join(fetched.withColumnRenamed("t", "ta"), F.col("a") == F.col("of")).drop("of")
+    pairs = pairs.join(fetched.withColumnRenamed("t", "tb"), F.col("b") == F.col("of")).drop("of")
+    stars = stored(pairs.mapInArrow(_similar_rows(least, alike), "a long, b long"), "stars")
+    labels = stored(components(stars), "labels")
+    rest = near.drop("low").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
+    rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *order).sortWithinPartitions(*order)
+    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius, agree), 50_000), rest.schema), "rest")
+    again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *order).sortWithinPartitions(*order)
+    more = stored(again.mapInArrow(_whole_shards(_verified(least, radius, agree, alike), 4_000), "a long, b long"), "links")
+    links = stars.union(more)
+    return stored(components(links), "roots")
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, least: float = SIMILAR, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
     """(id, text_hash, lines array<int>): for each document that loses lines, the numbers of those, from 0.
 
@@ -410,28 +442,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seen = stored(rows.mapInArrow(_lines(min_words, radius), "id long, text_hash long, line int, digest long, chars int, low_bins long, high_bins long, bands array<int>, sim long"), "lines")
 
     distinct = stored(seen.where("bands is not null").groupBy("digest").agg(*(F.first(c).alias(c) for c in ("chars", "low_bins", "high_bins", "bands", "sim"))), "distinct")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["block", "value", "one", "two"]
-    dealt = shards(distinct, piece).repartition(parts, *order).sortWithinPartitions(*order)
-    kind = T.StructType([*dealt.schema.fields, T.StructField("low", T.LongType())])
-    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius), 50_000), kind), "near")
-    first = stored(near.groupBy("digest").agg(F.min("low").alias("low")), "first")
-    bitmap = spark.sparkContext.broadcast(_bitmap(first.select("digest")))
-    fetched = docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
-    fetched = stored(fetched.groupBy("digest").agg(F.first("t").alias("t")).withColumnRenamed("digest", "of"), "fetched")
-    pairs = first.where("low < digest").select(F.col("digest").alias("a"), F.col("low").alias("b"))
-    pairs = pairs.join(fetched.withColumnRenamed("t", "ta"), F.col("a") == F.col("of")).drop("of")
-    pairs = pairs.join(fetched.withColumnRenamed("t", "tb"), F.col("b") == F.col("of")).drop("of")
-    stars = stored(pairs.mapInArrow(_similar_rows(least), "a long, b long"), "stars")
-    labels = stored(components(stars), "labels")
-    rest = near.drop("low").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
-    rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *order).sortWithinPartitions(*order)
-    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius), 50_000), rest.schema), "rest")
-    again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *order).sortWithinPartitions(*order)
-    more = stored(again.mapInArrow(_whole_shards(_verified(least, radius), 4_000), "a long, b long"), "links")
-    links = stars.union(more)
-    roots = stored(components(links), "roots")
 
+    def texts(digests: DataFrame) -> DataFrame:
+        bitmap = spark.sparkContext.broadcast(_bitmap(digests))
+        return docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
+
+    roots = linked(distinct, texts, similar, least, radius, piece=piece)
     grouped = seen.select("id", "text_hash", "line", "digest").join(roots, F.col("digest") == F.col("node"), "left")
     grouped = stored(grouped.select("id", "text_hash", "line", F.coalesce("root", "digest").alias("group")), "grouped")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "line")
