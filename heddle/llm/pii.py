@@ -4,9 +4,10 @@ Base spans come from patterns. A term discloses an entity (one address, number
 and so on) if knowing the term removes most of the entity's information:
 PMI(entity; term) / IC(entity) >= DISCLOSED, with probabilities from the
 corpus, each distinct text counted once (Sanchez and Batet's C-sanitisation).
-Candidates are the terms that stand near an entity in several texts; their
-document counts are over all texts. Disclosing terms become spans wherever
-they occur, and are generalised like the rest.
+The chance of the entity given the term is smoothed by PRIOR texts at its overall
+rate, so one text's word on an entity that others hold too says less than many.
+All counts are over whole texts; every entity and every term counts. Disclosing
+terms become spans wherever they occur, and are generalised like the rest.
 
 All of it is DataFrame and SQL functions.
 """
@@ -29,12 +30,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9\-]+[0-9]",
 }
 MUST_HOLD = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-NEAR = 60  # code points on each side of an entity
-MIN_TEXTS = 3  # distinct texts that hold an entity, and the pair of entity and term
+PRIOR = 1  # texts
 DISCLOSED = 0.9
 TERM = r"[^\p{L}]+"
 TERMS_AT_ONCE = 500_000  # broadcast together; more take more passes
-FOUND = "array<struct<kind:string,start:int,end:int,value:string,near:string>>"
+FOUND = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
 def _luhn(digits: Column) -> Column:
@@ -71,13 +71,11 @@ def _located(kind: str, hits: Column, pieces: Column) -> Column:
     """FOUND of the matches ``hits``, between which the text splits into ``pieces``. Offsets are in code points, ends exclusive."""
     n = F.size(hits)
     rows = F.zip_with(hits, F.slice(pieces, F.lit(1), n), lambda hit, before: F.struct(hit.alias("hit"), before.alias("before")))
-    rows = F.zip_with(rows, F.slice(pieces, F.lit(2), n), lambda x, after: F.struct(x["hit"].alias("hit"), x["before"].alias("before"), after.alias("after")))
 
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["before"])
         end = start + F.length(x["hit"])
-        near = F.concat(F.substring(x["before"], -NEAR, NEAR), F.lit(" "), F.substring(x["after"], 1, NEAR))
-        one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["hit"].alias("value"), near.alias("near"))
+        one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["hit"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
     first = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
@@ -99,46 +97,56 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.select("id", "digest", F.concat(*spans).alias("spans"))
 
 
-def _disclosure(texts: int, of_term: str) -> Column:
-    """PMI / IC of a pair of entity and term."""
-    return 1 + F.log2(F.col("n_pair") / F.col(of_term)) / F.log2(F.lit(texts) / F.col("n_entity"))
+def _disclosure(texts: int) -> Column:
+    """Smoothed PMI / IC of a pair of entity and term."""
+    given = (F.col("n_pair") + PRIOR * F.col("n_entity") / texts) / (F.col("n_term") + PRIOR)
+    return 1 + F.log2(given) / F.log2(F.lit(texts) / F.col("n_entity"))
+
+
+def _terms(text: Column) -> Column:
+    """Distinct words of over two letters, but for those in a token with a digit or an @."""
+    return F.filter(F.array_distinct(F.split(F.lower(F.regexp_replace(text, r"\S*[@0-9]\S*", " ")), TERM)), lambda w: F.length(w) > 2)
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame, text_col: str = "text") -> DataFrame | None:
-    """(digest, terms array<string>) of the texts that hold terms which disclose an entity; None if there is no candidate.
+    """(digest, terms array<string>) of the texts that hold terms which disclose an entity; None if there are none.
 
-    A pair of entity and term needs MIN_TEXTS distinct texts in which the term
-    stands within NEAR code points of the entity. PMI / IC of the pair is
-    1 + log(n_pair / n_term) / log(N / n_entity), in counts of distinct texts.
+    A candidate is each term of each text that holds an entity. Its PMI / IC is
+    1 + log((n_pair + PRIOR * n_entity / N) / (n_term + PRIOR)) / log(N / n_entity),
+    in counts of distinct texts.
     """
-    near = base.select("digest", F.explode("spans").alias("s")).select(
-        "digest",
-        F.concat("s.kind", F.lit(":"), F.lower("s.value")).alias("entity"),
-        F.split(F.lower(F.regexp_replace("s.near", r"\S*[@0-9]\S*", " ")), TERM).alias("terms"),
-    )
-    entities = near.select("digest", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= MIN_TEXTS)
-    entities = stored(entities, "entities")
-    pairs = near.join(entities, "entity").select("digest", "entity", "n_entity", F.explode("terms").alias("term")).where(F.length("term") > 2).distinct()
-    pairs = pairs.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= MIN_TEXTS)
+    held = base.select("digest", F.explode("spans").alias("s")).select("digest", F.concat("s.kind", F.lit(":"), F.lower("s.value")).alias("entity")).distinct()
+    held = stored(held, "held")
     texts = base.select("digest").distinct().count()
-    # a term has as many texts at least as it has near any entity: what falls short by these falls short by all
-    around = near.select("digest", F.explode("terms").alias("word")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n_near"))
-    pairs = pairs.join(stored(around, "around"), F.col("term") == F.col("word"))
-    pairs = stored(pairs.where((F.col("n_entity") < texts) & (_disclosure(texts, "n_near") >= DISCLOSED)).drop("word", "n_near"), "pairs")
-    terms = stored(pairs.select("term").distinct(), "terms")
-    passes = -(-terms.count() // TERMS_AT_ONCE)
-    if not passes:
+    if texts < 2:
         return None
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") < texts)
+    # entities of one text alone give the same pairs: the text's digest stands for all of them
+    entities = held.join(entities, "entity").withColumn("entity", F.when(F.col("n_entity") == 1, F.hex("digest")).otherwise(F.col("entity"))).distinct()
+    # n_pair is n_entity at most, so a term of more texts than this falls short
+    most = (F.col("n_entity") * (1 + PRIOR / texts)) * F.pow(F.lit(texts) / F.col("n_entity"), F.lit(1 - DISCLOSED)) - PRIOR + 1e-6
+    entities = stored(entities.withColumn("most", most), "entities")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = docs.select(F.unhex(F.md5(text)).alias("digest"), F.explode(F.array_distinct(F.split(F.lower(text), TERM))).alias("term"))
-    held = None
-    for i in range(passes):  # each broadcasts a bounded part of the candidates
-        part = words.join(F.broadcast(terms.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == i)), "term", "left_semi")
-        held = part if held is None else held.union(part)
-    held = stored(held.distinct(), "held")
-    counts = stored(held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "counts")
-    telling = stored(pairs.join(counts, "term").where(_disclosure(texts, "n_term") >= DISCLOSED).select("term").distinct(), "telling")
-    return stored(held.join(telling, "term").groupBy("digest").agg(F.sort_array(F.collect_set("term")).alias("terms")), "telling_by_text")
+    rows = docs.select(F.unhex(F.md5(text)).alias("digest"), text.alias("t"))
+    several = base.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").withColumnRenamed("digest", "of")
+    several = stored(several, "several")
+    words = rows.join(several, F.col("digest") == F.col("of"), "left").select(F.coalesce("times", F.lit(1)).alias("times"), F.explode(F.array_distinct(F.split(F.lower("t"), TERM))).alias("term"))
+    # equal texts count as one together
+    counts = stored(words.groupBy("term").agg(F.round(F.sum(1 / F.col("times"))).cast("long").alias("n_term")), "counts")
+    bounds = entities.groupBy("digest").agg(F.max("most").alias("bound"))
+    mine = rows.join(bounds, "digest").select("digest", "bound", F.explode(_terms(F.col("t"))).alias("term")).distinct()
+    mine = stored(mine.join(counts, "term").where("n_term <= bound").drop("bound"), "candidates")
+    pairs = mine.join(entities, "digest").where("n_term <= most").groupBy("entity", "n_entity", "term", "n_term").agg(F.count(F.lit(1)).alias("n_pair"))
+    telling = stored(pairs.where(_disclosure(texts) >= DISCLOSED).select("term").distinct(), "telling")
+    passes = -(-telling.count() // TERMS_AT_ONCE)
+    if not passes:
+        return None
+    words = rows.select("digest", F.explode(F.array_distinct(F.split(F.lower("t"), TERM))).alias("term"))
+    found = None
+    for i in range(passes):  # each broadcasts a bounded part of the terms
+        part = words.join(F.broadcast(telling.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == i)), "term", "left_semi")
+        found = part if found is None else found.union(part)
+    return stored(found.groupBy("digest").agg(F.sort_array(F.collect_set("term")).alias("terms")), "telling_by_text")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -116,3 +116,13 @@ def test_query(spark, sf):
         text = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest() and r.spans.startswith(text)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
+
+
+def terms_of(spark, texts):
+    return {r.id: [texts[r.id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in run(spark, list(enumerate(texts)))}
+
+
+def test_entity_of_one_text(spark):
+    texts = ["the plain words of all and zorblax for jane@corp.example"] + ["the plain words of all and for this"] * 2 + [f"the plain words of all and for {i}" for i in range(3000)]
+    got = terms_of(spark, texts)
+    assert got[0] == ["zorblax"] and not any(got[i] for i in got if i)
