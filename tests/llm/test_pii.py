@@ -126,3 +126,10 @@ def test_entity_of_one_text(spark):
     texts = ["the plain words of all and zorblax for jane@corp.example"] + ["the plain words of all and for this"] * 2 + [f"the plain words of all and for {i}" for i in range(3000)]
     got = terms_of(spark, texts)
     assert got[0] == ["zorblax"] and not any(got[i] for i in got if i)
+
+
+def test_pairs_count_over_whole_texts(spark):
+    far = "the plain words of all and for this " * 10
+    texts = [f"zorblax {far} jane@corp.example {i}" for i in range(4)] + [f"zorblax jane@corp.example {i}" for i in range(4)] + [f"{far} {i}" for i in range(300)]
+    got = terms_of(spark, texts)
+    assert all(got[i] == (["zorblax"] if i < 8 else []) for i in got)
