@@ -1,11 +1,20 @@
 """Stupid-backoff scores of documents, their own n-grams left out of the counts.
 
-Word n-grams are exploded by block of documents; a block asks each hash
-partition of the count table once for each distinct n-gram of its own (number,
-count), the partition adds up what all blocks asked for and answers with the
-totals, and the block joins these to its documents' n-grams and sums the scores
-by document. Numbers travel sorted, as packed differences. The texts are dealt
-to their blocks once: both uses read the same exchange.
+Three tables, joined by partition of the n-grams' hash space:
+
+  exploded  (block, part, numbers, counts): the distinct n-grams of a block of
+            documents, added up before they are shuffled, so that a frequent
+            one comes once a block and no partition is hot
+  counted   the count table: each partition adds up its n-grams over all blocks
+            and is joined to what the blocks hold of it
+  scored    the totals by block, joined to the documents' n-grams and summed
+            by document
+
+A row of these tables holds the n-grams of one block and partition, sorted and
+packed as differences: at a row each, 2.5 n-grams a word would be shuffled by
+hash and back by document. A block has at most a row for each of its n-grams,
+so rows never outgrow the exploded n-grams, whatever the number of partitions.
+The texts are dealt to their blocks once: both uses read the same exchange.
 """
 
 from __future__ import annotations
@@ -21,10 +30,10 @@ from heddle.llm.mixing import word_count
 from heddle.sources import read_table
 
 BACKOFF = 0.4
-BLOCK_BYTES = 6_000_000  # of text in a block, about
+BLOCK_BYTES = 8_000_000  # of text in a block, about
 ORDER = 3
-ASK = "block int, part int, n int, numbers binary, counts binary"
-ANSWER = "block int, part int, totals binary"
+EXPLODED = "block int, part int, n int, numbers binary, counts binary"
+COUNTED = "block int, part int, n int, others binary"
 SCORED = "id long, n_words long, log_prob double, n_trigram long, n_bigram long, n_unigram long"
 
 
@@ -69,59 +78,68 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
     return doc, out
 
 
-def _asked(texts: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document of each word; its n-grams' places in the distinct numbers (a row for each n; the last place: none); and of these, by partition, number, partition and count."""
-    doc, by_n = grams(texts)
-    numbers, place, count = np.unique(np.concatenate(by_n), return_inverse=True, return_counts=True)
-    place = place.reshape(ORDER, len(doc))
-    part = ((numbers >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((numbers, part))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    if len(numbers) and numbers[0] == 0:  # stands for no n-gram: put it last
-        order = np.append(order[order != 0], 0)
-        rank[order] = np.arange(len(order))
-        return doc, rank[place], numbers[order][:-1], part[order][:-1], count[order][:-1]
-    return doc, rank[place] if len(doc) else place, numbers[order], part[order], count[order]
+def _distinct(by_n: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order the distinct numbers, each word's place among them (their number: none ends there), and their counts."""
+    out = []
+    for number in by_n:
+        distinct, place, count = np.unique(number, return_inverse=True, return_counts=True)
+        if len(distinct) and distinct[0] == 0:  # stands for no n-gram: put it last
+            distinct, count = distinct[1:], count[1:]
+            place = np.where(place == 0, len(distinct), place - 1)
+        out.append((distinct, place, count))
+    return out
 
 
-def _ask(parts: int):
+def _edges(numbers: np.ndarray, parts: int) -> np.ndarray:
+    """Where each of ``parts`` even ranges of the hash space begins in sorted numbers, and their end."""
+    return np.searchsorted((numbers >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+
+
+def _explode(parts: int):
+    """``parts``: of each order; those of order n are numbered from (n - 1) * parts."""
+
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        _, _, numbers, part, count = _asked(table.column("t").to_pylist(), parts)
         rows = []
-        edges = np.searchsorted(part, np.arange(parts + 1))
-        for p in np.unique(part).tolist():
-            own = slice(edges[p], edges[p + 1])
-            rows.append((block, p, int(edges[p + 1] - edges[p]), _pack(np.diff(numbers[own], prepend=np.uint64(0))), _pack(count[own])))
-        return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate((("block", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("numbers", pa.binary()), ("counts", pa.binary())))})
+        for order, (numbers, _, counts) in enumerate(_distinct(grams(table.column("t").to_pylist())[1])):
+            edges = _edges(numbers, parts)
+            for p in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+                own = slice(edges[p], edges[p + 1])
+                rows.append((block, order * parts + p, int(edges[p + 1] - edges[p]), _pack(np.diff(numbers[own], prepend=np.uint64(0))), _pack(counts[own])))
+        names = (("block", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("numbers", pa.binary()), ("counts", pa.binary()))
+        return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(names)})
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def _count(table: pa.Table) -> pa.Table:
+    """What the other blocks hold of each block's n-grams in a partition."""
     sizes = table.column("n").to_pylist()
     numbers = [np.cumsum(_unpack(b, n), dtype=np.uint64) for b, n in zip(table.column("numbers").to_pylist(), sizes)]
-    counts = [_unpack(b, n) for b, n in zip(table.column("counts").to_pylist(), sizes)]
-    _, back = np.unique(np.concatenate(numbers), return_inverse=True)
-    total = np.bincount(back, weights=np.concatenate(counts).astype(np.float64)).astype(np.uint64)[back]
-    blobs = [_pack(x) for x in np.split(total, np.cumsum(sizes)[:-1])]
-    return pa.table({"block": table.column("block"), "part": table.column("part"), "totals": pa.array(blobs, pa.binary())})
+    own = np.concatenate([_unpack(b, n) for b, n in zip(table.column("counts").to_pylist(), sizes)])
+    distinct, at = np.unique(np.concatenate(numbers), return_inverse=True)
+    total = np.zeros(len(distinct), np.uint64)
+    np.add.at(total, at, own)
+    blobs = [_pack(x) for x in np.split(total[at] - own, np.cumsum(sizes)[:-1])]
+    return pa.table({"block": table.column("block"), "part": table.column("part"), "n": table.column("n"), "others": pa.array(blobs, pa.binary())})
 
 
 def _score(parts: int, corpus_words: int):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(docs: pa.Table, counted: pa.Table) -> pa.Table:
         texts = docs.column("t").to_pylist()
-        doc, place, numbers, part, _ = _asked(texts, parts)
-        edges = np.searchsorted(part, np.arange(parts + 1))
-        total = np.zeros(len(numbers) + 1)
-        for p, blob in zip(answers.column("part").to_pylist(), answers.column("totals").to_pylist()):
-            total[edges[p] : edges[p + 1]] = _unpack(blob, int(edges[p + 1] - edges[p]))
+        doc, by_n = grams(texts)
+        of_part = {p: (n, blob) for p, n, blob in zip(*(counted.column(c).to_pylist() for c in ("part", "n", "others")))}
         lengths = np.bincount(doc, minlength=len(texts)).astype(np.float64)
         left = []
-        for n in range(ORDER):
-            _, back, own = np.unique(doc * (len(numbers) + 1) + place[n], return_inverse=True, return_counts=True)
-            left.append(np.where(place[n] < len(numbers), total[place[n]] - own[back], 0))
+        for order, (numbers, place, count) in enumerate(_distinct(by_n)):
+            total = np.zeros(len(numbers) + 1)
+            edges = _edges(numbers, parts)
+            for p in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+                n, blob = of_part[order * parts + p]
+                total[edges[p] : edges[p + 1]] = _unpack(blob, n)
+            total[:-1] += count
+            _, back, own = np.unique(doc * (len(numbers) + 1) + place, return_inverse=True, return_counts=True)
+            left.append(np.where(place < len(numbers), total[place] - own[back], 0))
         c1, c2, c3 = left
         before1, before2 = np.append(0, c1[:-1]), np.append(0, c2[:-1])
         position = np.arange(len(doc)) - (np.cumsum(lengths) - lengths)[doc].astype(np.int64)
@@ -148,17 +166,22 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
     the shorter n-gram isn't backed off to. Counts are over all rows, less the
     document's own; so copies of a document are seen elsewhere. log_prob is the
     sum of the words' log scores, the n_ columns count the words by the n-gram
-    used. Null and empty texts have no words and log_prob 0. Ids may be null or
-    repeated. Other columns aren't read. An empty table gives no rows.
+    used. Null and empty texts have no words and log_prob 0. Very long texts are
+    scored whole; a block holds one at least. Ids may be null or repeated.
+    Other columns aren't read. An empty table gives no rows. N-grams are known
+    by 63-bit hashes, orders apart: of n distinct ones some n^2 / 2^64 pairs
+    share one.
     """
     text = F.col(text_col)
     size, words = docs.select(F.sum(F.octet_length(text)), F.sum(word_count(text))).first()
     blocks = max(1, -(-int(size or 0) // block_bytes))
+    parts = -(-blocks // ORDER)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text, F.lit("")).cast("binary").alias("t"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(blocks)).cast("int"))
-    asked = rows.groupBy("block").applyInArrow(_ask(blocks), ASK)
-    answers = asked.groupBy("part").applyInArrow(_answer, ANSWER)
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(blocks, int(words or 0)), SCORED)
+    # by place, not by content: copies spread over the blocks
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    exploded = rows.groupBy("block").applyInArrow(_explode(parts), EXPLODED)
+    counted = exploded.groupBy("part").applyInArrow(_count, COUNTED)
+    return rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_score(parts, int(words or 0)), SCORED)
 
 
 def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,4 +192,34 @@ def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_stupid_backoff": op6_stupid_backoff}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_stupid_backoff": f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+exploded AS (
+  SELECT r, i, w, lag(w) OVER doc AS w1, lag(w, 2) OVER doc AS w2
+  FROM (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM docs)
+  WINDOW doc AS (PARTITION BY r ORDER BY i)),
+counted AS (
+  SELECT r, i, count(*) OVER () - count(*) OVER (PARTITION BY r) AS rest,
+         count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY r, w) AS c1,
+         CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY w1, w) - count(*) OVER (PARTITION BY r, w1, w) ELSE 0 END AS c2,
+         CASE WHEN i > 2 THEN count(*) OVER (PARTITION BY w2, w1, w) - count(*) OVER (PARTITION BY r, w2, w1, w) ELSE 0 END AS c3
+  FROM exploded),
+scored AS (
+  SELECT r, c1, c2, c3,
+         CASE WHEN c3 > 0 THEN c3 / lag(c2) OVER doc
+              WHEN c2 > 0 THEN c2 / lag(c1) OVER doc * CASE WHEN i > 2 THEN {BACKOFF} ELSE 1 END
+              ELSE CASE WHEN c1 > 0 THEN c1 / rest ELSE 1 / (rest + 1) END * {BACKOFF} ** least(i - 1, 2) END AS score
+  FROM counted WINDOW doc AS (PARTITION BY r ORDER BY i)),
+summed AS (
+  SELECT r, count(*) AS n, sum(ln(score)) AS log_prob, count(*) FILTER (c3 > 0) AS n3,
+         count(*) FILTER (c3 = 0 AND c2 > 0) AS n2, count(*) FILTER (c3 = 0 AND c2 = 0 AND c1 > 0) AS n1
+  FROM scored GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_words, round(log_prob / n, 6) AS mean_log_prob,
+       coalesce(n3, 0) AS n_trigram, coalesce(n2, 0) AS n_bigram, coalesce(n1, 0) AS n_unigram
+FROM docs LEFT JOIN summed USING (r)
+"""
+}
