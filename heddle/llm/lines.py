@@ -1,12 +1,15 @@
 """Line dedup with fuzzy lines.
 
 Normalised lines get a digest and a MinHash sketch of their character grams in
-the pass that reads the texts. Distinct lines are joined on bands of the sketch;
-only lines with a neighbour whose sketch and length allow the similarity come
-into question, so only their texts are fetched, through a bitmap of fixed size.
-Pairs are verified by edit similarity, each line with its smallest neighbour
-first; of the other pairs only those whose lines these links leave apart need
-it. Each connected group keeps its first occurrence.
+the pass that reads the texts. Keys of the sketch take the place of a SimHash's
+bit blocks: they are what similar lines share (see the README for the recall of
+either). Most keys are one line's own, so one aggregate finds the keys of
+several lines before anything but keys and digests is shuffled. Only lines with
+a neighbour whose sketch and length allow the similarity come into question, so
+only their texts are fetched, through a bitmap sized by their number. Pairs are
+verified by edit similarity, each line with its smallest neighbour first; of the
+other pairs only those whose lines these links leave apart need it. Each
+connected group keeps its first occurrence.
 """
 
 from __future__ import annotations
@@ -21,21 +24,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heddle.llm.components import components
-from heddle.llm.shared import stored
+from heddle.llm.shared import stored, unused
 from heddle.sources import read_table
 
-RADIUS = 3
-GRAM = 8  # characters
-BINS = 32  # of the sketch; a band is two of them
-AGREE = 6  # bins, of 4 bits each, that a pair shares at least to be verified
+BINS = 32  # of a sketch
+#: Lines are compared by all schemes that allow their length; any two lines of
+#: similarity 0.8 have one in common, as each reaches 5/4 of the next one's start.
+TINY = range(4, 10)  # characters: one edit at most, so that some deletion of each, or the line itself, is equal
+SHORT, SHORT_GRAM = range(8, 41), 6  # a key for every second bin
+MIDDLE = range(32, 76)  # SHORT_GRAM too; a key for two bins that stand apart
+LONG, LONG_GRAM, LONG_KEYS = range(60, 1 << 62), 12, 10  # as MIDDLE, so many keys
+#: How a key's pairs are compared, in its lowest bits: not at all, or by so many equal bins, of 4 bits each, at least.
+ANY, SHORT_KIND, LONG_KIND = 0, 1, 2
+AGREE = (0, 4, 10)  # bins that differ by chance agree once in 16
 SIMILAR = 0.8  # 1 - edits / length of the longer line
-MIN_WORDS = 3
+MIN_WORDS = 1
 PIECE = 512
-BITMAP = 1 << 24  # bits
+BITMAP, BITMAP_MOST = 1 << 24, 1 << 28  # bits, 16 for each line that is asked for; beyond the most, more lines travel than are asked for
 PAIRS = 1 << 18  # looked at together
 WORDS_AT_ONCE = 100_000
 CHARS_AT_ONCE = 1 << 20
-BROADCAST = 500_000  # bands of more than a piece, of some 50 bytes each; more of them are joined
+BROADCAST = 1 << 20  # rows of a number or two; more of them are joined
 
 
 def normal(line: str) -> str:
@@ -95,20 +104,32 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _sketched(lines: list[str]) -> np.ndarray:
-    pad = "\0" * (GRAM - 1)
+def _gram_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` codes from each place on."""
+    out, done, part, reach = None, 0, _mixed(codes.astype(np.uint64) + np.uint64(1)), 1
+    while width:
+        if width & 1:
+            own = np.zeros_like(part)
+            own[: len(part) - done] = part[done:]
+            out = own if out is None else _mixed(out * np.uint64(0x100000001B3) + own)
+            done += reach
+        width >>= 1
+        if width:
+            wider = part.copy()
+            wider[:-reach] = _mixed(part[:-reach] * np.uint64(0x100000001B3) + part[reach:])
+            part, reach = wider, 2 * reach
+    return out
+
+
+def _sketched(lines: list[str], gram: int) -> np.ndarray:
+    pad = "\0" * (gram - 1)
     text = pad + pad.join(lines) + pad
-    h = _mixed(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
-    width = 1
-    while width < GRAM:
-        h[:-width] = _mixed(h[:-width] * np.uint64(0x100000001B3) + h[width:])
-        width *= 2
+    h = _gram_hashes(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), gram)
     # as many grams as characters: those that begin before a line hold its first ones only
     n = np.array([len(x) for x in lines])
-    begins = np.cumsum(n + GRAM - 1) - (n + GRAM - 1)
+    begins = np.cumsum(n + gram - 1) - (n + gram - 1)
     line = np.repeat(np.arange(len(lines)), n)
-    gram = h[np.repeat(begins, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    return minima(gram, line, len(lines))
+    return minima(h[np.repeat(begins, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], line, len(lines))
 
 
 def minima(gram: np.ndarray, line: np.ndarray, n: int) -> np.ndarray:
@@ -123,21 +144,63 @@ def minima(gram: np.ndarray, line: np.ndarray, n: int) -> np.ndarray:
     return _mixed(np.take_along_axis(low, after % BINS, axis=1) + (after - np.arange(BINS)).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-def sketches(lines: list[str]) -> np.ndarray:
-    """BINS minima of each line's hashed GRAM-character grams, one permutation cut into bins. Lines are not empty."""
+def sketches(lines: list[str], gram: int) -> np.ndarray:
+    """BINS minima of each line's hashed ``gram``-character grams, one permutation cut into bins. Lines are not empty."""
     out, start, held = [np.empty((0, BINS), np.uint64)], 0, 0
     for stop, line in enumerate(lines, 1):
         held += len(line)
         if held >= CHARS_AT_ONCE or stop == len(lines):
-            out.append(_sketched(lines[start:stop]))
+            out.append(_sketched(lines[start:stop], gram))
             start, held = stop, 0
     return np.concatenate(out)
 
 
-def bands(sketch: np.ndarray) -> np.ndarray:
-    """BINS / 2 bands (int32) of each sketch: two bins that stand apart, as empty bins resemble their neighbours."""
+def _numbered(values: np.ndarray, kind: int) -> np.ndarray:
+    """Keys: a column's number goes into the hash, the kind into the lowest bits."""
+    columns = np.arange(1, values.shape[1] + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    return _mixed(values + columns) & np.uint64(2**64 - 4) | np.uint64(kind)
+
+
+def bands(sketch: np.ndarray, keys: int, kind: int) -> np.ndarray:
+    """``keys`` keys of each sketch, of two bins that stand apart, as empty bins resemble their neighbours."""
     half = BINS // 2
-    return _mixed(sketch[:, :half] * np.uint64(31) + sketch[:, half:]).astype(np.uint32).view(np.int32)
+    return _numbered(sketch[:, :keys] * np.uint64(31) + sketch[:, half : half + keys], kind)
+
+
+def keys_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key) of each key in order of lines, and nibbles of the sketches by SHORT_GRAM and LONG_GRAM (0 where a line has none)."""
+    length = np.array([len(x) for x in lines])
+    at, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    short, long = np.zeros((2, len(lines), 2), np.uint64)
+
+    def add(own: np.ndarray, values: np.ndarray) -> None:
+        at.append(np.repeat(own, values.shape[1]))
+        keys.append(values.ravel())
+
+    def among(lengths: range, of: np.ndarray) -> np.ndarray:
+        return np.flatnonzero((length[of] >= lengths.start) & (length[of] < lengths.stop))
+
+    for n in among(TINY, np.arange(len(lines))).tolist():
+        line = lines[n]
+        forms = sorted({line, *(line[:i] + line[i + 1 :] for i in range(len(line)))})
+        hashes = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 2) for x in forms], np.uint64)
+        add(np.array([n]), (hashes & np.uint64(2**64 - 4) | np.uint64(ANY))[None, :])
+    own = among(range(SHORT.start, MIDDLE.stop), np.arange(len(lines)))
+    if len(own):
+        sketch = sketches([lines[n] for n in own.tolist()], SHORT_GRAM)
+        short[own] = nibbles(sketch)
+        k = among(SHORT, own)
+        add(own[k], _numbered(sketch[k][:, ::2], SHORT_KIND))
+        k = among(MIDDLE, own)
+        add(own[k], bands(sketch[k], BINS // 2, SHORT_KIND))
+    own = among(LONG, np.arange(len(lines)))
+    if len(own):
+        sketch = sketches([lines[n] for n in own.tolist()], LONG_GRAM)
+        long[own] = nibbles(sketch)
+        add(own, bands(sketch, LONG_KEYS, LONG_KIND))
+    line, key = np.concatenate(at), np.concatenate(keys)
+    order = np.argsort(line, kind="stable")
+    return line[order], key[order], short, long
 
 
 def nibbles(sketch: np.ndarray) -> np.ndarray:
@@ -193,71 +256,96 @@ def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+COMPARED = ["chars", "short_low", "short_high", "long_low", "long_high", "sim"]
+COMPARED_KINDS = "chars int, short_low long, short_high long, long_low long, long_high long, sim long"
+
+
 def _lines(min_words: int, radius: int | None):
+    def lines_of(texts: list[str | None], start: int):
+        """(row, line number, normalised line) of ``texts``, some CHARS_AT_ONCE characters together."""
+        which, number, lines, held = [], [], [], 0
+        for row, text in enumerate(texts, start):
+            for n, line in enumerate((text or "").split("\n")):
+                line = normal(line)
+                if line and line.count(" ") >= min_words - 1:
+                    which.append(row)
+                    number.append(n)
+                    lines.append(line)
+                    held += len(line)
+                    if held >= CHARS_AT_ONCE:
+                        yield which, number, lines
+                        which, number, lines, held = [], [], [], 0
+        yield which, number, lines
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            which, number, lines = [], [], []
-            for row, text in enumerate(batch.column(2).to_pylist()):
-                for n, line in enumerate((text or "").split("\n")):
-                    line = normal(line)
-                    if line.count(" ") >= min_words - 1 and line:
-                        which.append(row)
-                        number.append(n)
-                        lines.append(line)
-            digest = np.array([line_digest(x) for x in lines], dtype=np.uint64)
-            rows = pa.array(which, pa.int64())
-            # a line's sketch stands at its first occurrence in the batch
-            _, once = np.unique(digest, return_index=True)
-            sketch = sketches([lines[k] for k in once.tolist()])
-            place = np.full(len(lines), -1)
-            place[once] = np.arange(len(once))
-            at = pa.array(place, mask=place < 0)
-            values = pa.array(bands(sketch).ravel())
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(once) + 1, dtype=np.int32) * (BINS // 2)), values)
-            halves = nibbles(sketch).view(np.int64)
-            sim = pa.nulls(len(lines), pa.int64()) if radius is None else pa.array(simhashes(lines).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(digest.view(np.int64)), pa.array([len(x) for x in lines], pa.int32())]
-                + [pa.array(np.ascontiguousarray(halves[:, k])).take(at) for k in (0, 1)]
-                + [listed.take(at), sim],
-                ["id", "text_hash", "line", "digest", "chars", "low_bins", "high_bins", "bands", "sim"],
-            )
+            for which, number, lines in lines_of(batch.column(2).to_pylist(), 0):
+                digest = np.array([line_digest(x) for x in lines], dtype=np.uint64)
+                rows = pa.array(which, pa.int64())
+                # what a line is compared by stands at its first occurrence of those looked at together
+                _, once = np.unique(digest, return_index=True)
+                own = [lines[k] for k in once.tolist()]
+                line, keys, short, long = keys_of(own)
+                sim = np.zeros(len(own), np.uint64) if radius is None else simhashes(own)
+                place = np.full(len(lines), -1)
+                place[once] = np.arange(len(once))
+                at = pa.array(place, mask=place < 0)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(own)))]).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))
+                compared = [np.ascontiguousarray(x).view(np.int64) for x in (short[:, 0], short[:, 1], long[:, 0], long[:, 1], sim)]
+                chars = pa.array(np.array([len(x) for x in own], np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(digest.view(np.int64)), listed.take(at), chars.take(at), *(pa.array(x).take(at) for x in compared)],
+                    ["id", "text_hash", "line", "digest", "keys", *COMPARED],
+                )
 
     return run
 
 
-def shards(distinct: DataFrame, piece: int = PIECE) -> DataFrame:
-    """Lines dealt to the shards of their bands: (block, value, one, two, role, digest, chars, low_bins, high_bins, sim).
+def shards(seen: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Lines dealt by the keys that several lines have: (key, one, two, role, digest, chars, low, high, sim).
 
-    Shards of over ``piece`` lines are cut as in simhash.shards().
+    A key of over ``piece`` lines has its lines cut into pieces, and a row for
+    each pair (one, two) of pieces that the line's own is part of. role: 0 is
+    compared with 0 and 1, 1 with 2, of the same key and pair.
     """
-    kept = ["digest", "chars", "low_bins", "high_bins", "sim"]
-    rows = distinct.select(*kept, F.posexplode("bands").alias("block", "value"))
-    count = rows.groupBy("block", "value").count().where(F.col("count") > piece)
-    large = stored(count.select("block", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "large_bands")
-    # the rows are shuffled once only
-    cut = rows.join(F.broadcast(large) if large.count() <= BROADCAST else large, ["block", "value"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("pieces")).cast("int"))
+    first = seen.where("keys is not null")
+    keys = first.select("digest", F.explode("keys").alias("key"))
+    several = keys.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("key")
+    several = stored(several, "shared_keys")
+    # under the bound no line's keys are shuffled a second time
+    rows = stored(keys.join(F.broadcast(several) if several.count() <= BROADCAST else several, "key").distinct(), "dealt")
+    compared = first.groupBy("digest").agg(*(F.first(c).alias(c) for c in COMPARED))
+    large = rows.groupBy("key").count().where(F.col("count") > piece)
+    large = stored(large.select("key", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "large_keys")
+    cut = rows.join(F.broadcast(large) if large.count() <= BROADCAST else large, "key", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    cut = cut.join(compared, "digest").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("pieces")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     role = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role")
-    return cut.select("block", "value", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, *kept)
+    by_long = F.col("key").bitwiseAND(3) == LONG_KIND
+    sketch = [F.when(by_long, F.col(f"long_{x}")).otherwise(F.col(f"short_{x}")).alias(x) for x in ("low", "high")]
+    return cut.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, "digest", "chars", *sketch, "sim")
+
+
+DEALT = ["key", "one", "two"]
 
 
 def _groups(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """First and last-but-one row of each shard task in sorted rows."""
-    fresh = np.ones(len(table["block"]), bool)
-    fresh[1:] = np.any([table[k][1:] != table[k][:-1] for k in ("block", "value", "one", "two")], axis=0)
+    fresh = np.ones(len(table["key"]), bool)
+    fresh[1:] = np.any([table[k][1:] != table[k][:-1] for k in DEALT], axis=0)
     first = np.flatnonzero(fresh)
     return first, np.append(first[1:], len(fresh))
 
 
-def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None, agree: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of the same shard task, one of them in the tree and the other a query, whose lengths allow a similarity of ``least`` and whose sketches agree in ``agree`` bins, and SimHashes but for ``radius`` bits."""
+def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the same key and pair of pieces whose lengths allow a similarity of ``least``, whose sketches agree as their key's kind asks, and whose SimHashes agree but for ``radius`` bits."""
     first, last = _groups(table)
     end = np.repeat(last, last - first)
     left = np.flatnonzero(end - np.arange(len(end)) > 1)
     later = end[left] - left - 1
     total = np.cumsum(later)
+    asked = np.array(AGREE)
     start = 0
     while start < len(left):
         stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS, side="right")))
@@ -269,7 +357,7 @@ def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None, agree
         x, y = table["chars"][a], table["chars"][b]
         near &= np.abs(x - y) <= (1 - least) * np.maximum(x, y) + 1e-9
         a, b = a[near], b[near]
-        near = sum(agreeing(table[k][a], table[k][b]) for k in ("low_bins", "high_bins")) >= agree
+        near = sum(agreeing(table[k][a], table[k][b]) for k in ("low", "high")) >= asked[table["key"][a] & 3]
         if radius is not None:
             near &= np.bitwise_count(table["sim"][a] ^ table["sim"][b]) <= radius
         yield a[near], b[near]
@@ -277,7 +365,6 @@ def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None, agree
 
 def _whole_shards(work, at_once: int):
     """``work`` on rows that come sorted by shard task, never cutting a task."""
-    keys = ("block", "value", "one", "two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -288,7 +375,7 @@ def _whole_shards(work, at_once: int):
             if sum(map(len, held)) < at_once:
                 continue
             rows = pa.Table.from_batches(held)
-            apart = np.any([(c := rows.column(k).to_numpy()) != c[-1] for k in keys], axis=0)
+            apart = np.any([(c := rows.column(k).to_numpy()) != c[-1] for k in DEALT], axis=0)
             cut = int(np.flatnonzero(apart)[-1]) + 1 if apart.any() else 0
             if cut:
                 yield work(rows.slice(0, cut))
@@ -300,22 +387,22 @@ def _whole_shards(work, at_once: int):
 
 
 def _numeric(rows: pa.Table) -> dict[str, np.ndarray]:
-    table = {k: rows.column(k).to_numpy() for k in ("block", "value", "one", "two", "role", "chars")}
-    return table | {k: rows.column(k).fill_null(0).to_numpy().view(np.uint64) for k in ("low_bins", "high_bins", "sim")}
+    table = {k: rows.column(k).to_numpy() for k in (*DEALT, "role", "chars")}
+    return table | {k: rows.column(k).to_numpy().view(np.uint64) for k in ("low", "high", "sim")}
 
 
-def _neighbours(least: float, radius: int | None, agree: int):
-    """Rows that have a neighbour, and in ``low`` the smallest digest among a row and its neighbours."""
+def _neighbours(least: float, radius: int | None):
+    """Rows that have a neighbour, and in ``nearest`` the smallest digest among a row and its neighbours."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest = _numeric(rows), rows.column("digest").to_numpy()
         low, has = digest.copy(), np.zeros(len(rows), bool)
-        for a, b in _pairs(table, least, radius, agree):
+        for a, b in _pairs(table, least, radius):
             has[a] = has[b] = True
             np.minimum.at(low, a, digest[b])
             np.minimum.at(low, b, digest[a])
         at = np.flatnonzero(has)
-        return pa.RecordBatch.from_arrays([*(rows.column(k).combine_chunks().take(pa.array(at)) for k in rows.schema.names), pa.array(low[at])], [*rows.schema.names, "low"])
+        return pa.RecordBatch.from_arrays([*(rows.column(k).combine_chunks().take(pa.array(at)) for k in rows.schema.names), pa.array(low[at])], [*rows.schema.names, "nearest"])
 
     return work
 
@@ -329,13 +416,13 @@ def _similar_rows(least: float, alike: Callable):
     return run
 
 
-def _apart(least: float, radius: int | None, agree: int):
+def _apart(least: float, radius: int | None):
     """Rows that have a neighbour of another label."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, label = _numeric(rows), rows.column("label").to_numpy()
         has = np.zeros(len(rows), bool)
-        for a, b in _pairs(table, least, radius, agree):
+        for a, b in _pairs(table, least, radius):
             other = label[a] != label[b]
             has[a[other]] = has[b[other]] = True
         at = pa.array(np.flatnonzero(has))
@@ -344,7 +431,7 @@ def _apart(least: float, radius: int | None, agree: int):
     return work
 
 
-def _verified(least: float, radius: int | None, agree: int, alike: Callable):
+def _verified(least: float, radius: int | None, alike: Callable):
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest, text = _numeric(rows), rows.column("digest").to_numpy(), rows.column("t")
         _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
@@ -356,7 +443,7 @@ def _verified(least: float, radius: int | None, agree: int, alike: Callable):
             return i
 
         found = []
-        for a, b in _pairs(table, least, radius, agree):
+        for a, b in _pairs(table, least, radius):
             other = label[a] != label[b]
             for i, j in zip(a[other].tolist(), b[other].tolist()):
                 x, y = root(int(label[i])), root(int(label[j]))
@@ -371,83 +458,84 @@ def _verified(least: float, radius: int | None, agree: int, alike: Callable):
 def _wanted(bitmap, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
+        size = 8 * len(bits)
         for batch in batches:
-            found: dict[int, str] = {}
-            for text in batch.column(0).to_pylist():
-                for line in (text or "").split("\n"):
+            for text in batch.column(0):
+                found: dict[int, str] = {}
+                for line in (text.as_py() or "").split("\n"):
                     line = normal(line)
                     if line and line.count(" ") >= min_words - 1:
                         d = line_digest(line)
-                        at = d % BITMAP
+                        at = d % size
                         if bits[at >> 3] >> (at & 7) & 1:
                             found[d] = line
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(list(found), np.uint64).view(np.int64)), pa.array(found.values(), pa.string())], ["digest", "t"])
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.array(list(found), np.uint64).view(np.int64)), pa.array(found.values(), pa.string())], ["digest", "t"])
 
     return run
 
 
-def _bitmap(digests: DataFrame) -> bytes:
-    """BITMAP bits, those of the digests' remainders set; it reaches the driver as that many bits at most."""
-    at = digests.select(F.pmod("digest", F.lit(BITMAP)).alias("at"))
-    # pmod of a signed digest equals the remainder of the unsigned one: BITMAP divides 2^64
+def _bitmap(digests: DataFrame, size: int = BITMAP) -> bytes:
+    """``size`` bits, those of the digests' remainders set; it reaches the driver as that many bits at most."""
+    at = digests.select(F.pmod("digest", F.lit(size)).alias("at"))
+    # pmod of a signed digest equals the remainder of the unsigned one: size divides 2^64
     parts = at.groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("n")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits"))
-    out = bytearray(BITMAP // 8)
+    out = bytearray(size // 8)
     for row in parts.toLocalIterator():
         out[(row.n - 1) * 4096 : row.n * 4096] = bytes(row.bits)
     return bytes(out)
 
 
-def linked(distinct: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Callable, least: float, radius: int | None = None, agree: int = AGREE, piece: int = PIECE) -> DataFrame:
-    """(node, root) of the digests that alike(text, text, least) connects, of pairs whose sketches share a band.
+def linked(seen: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Callable, least: float, radius: int | None = None, piece: int = PIECE) -> DataFrame:
+    """(node, root) of the digests that alike(text, text, least) connects, of pairs that share a key.
 
-    distinct has a row for each digest, texts gives (digest, t) of the digests
-    that it is asked for, others too. ``chars`` bounds the similarity of a pair.
+    seen: (digest, keys, COMPARED), a digest once or more; null keys are passed
+    over. texts gives (digest, t) of the digests that it is asked for, others
+    too. ``chars`` bounds the similarity of a pair.
     """
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["block", "value", "one", "two"]
-    dealt = shards(distinct, piece).repartition(parts, *order).sortWithinPartitions(*order)
-    kind = T.StructType([*dealt.schema.fields, T.StructField("low", T.LongType())])
-    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius, agree), 50_000), kind), "near")
-    first = stored(near.groupBy("digest").agg(F.min("low").alias("low")), "first")
+    parts = int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = shards(seen, piece).repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
+    kind = T.StructType([*dealt.schema.fields, T.StructField("nearest", T.LongType())])
+    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius), 50_000), kind), "near")
+    first = stored(near.groupBy("digest").agg(F.min("nearest").alias("nearest")), "first")
     fetched = stored(texts(first.select("digest")).groupBy("digest").agg(F.first("t").alias("t")).withColumnRenamed("digest", "of"), "fetched")
-    pairs = first.where("low < digest").select(F.col("digest").alias("a"), F.col("low").alias("b"))
+    pairs = first.where("nearest < digest").select(F.col("digest").alias("a"), F.col("nearest").alias("b"))
     pairs = pairs.join(fetched.withColumnRenamed("t", "ta"), F.col("a") == F.col("of")).drop("of")
     pairs = pairs.join(fetched.withColumnRenamed("t", "tb"), F.col("b") == F.col("of")).drop("of")
     stars = stored(pairs.mapInArrow(_similar_rows(least, alike), "a long, b long"), "stars")
     labels = stored(components(stars), "labels")
-    rest = near.drop("low").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
-    rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *order).sortWithinPartitions(*order)
-    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius, agree), 50_000), rest.schema), "rest")
-    again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *order).sortWithinPartitions(*order)
-    more = stored(again.mapInArrow(_whole_shards(_verified(least, radius, agree, alike), 4_000), "a long, b long"), "links")
-    links = stars.union(more)
-    return stored(components(links), "roots")
+    rest = near.drop("nearest").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
+    rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
+    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius), 50_000), rest.schema), "rest")
+    again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
+    more = stored(again.mapInArrow(_whole_shards(_verified(least, radius, alike), 4_000), "a long, b long"), "links")
+    return stored(components(stars.union(more)), "roots")
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, least: float = SIMILAR, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = None, least: float = SIMILAR, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
     """(id, text_hash, lines array<int>): for each document that loses lines, the numbers of those, from 0.
 
     Lines are equal if they are so in lower case and with single spaces. They
-    link if their edit similarity is ``least`` or more and a band of their
-    sketches agrees (see the README for how many links that misses), and their
-    SimHashes differ in ``radius`` bits at most, which None doesn't ask for; a
-    group is what links and equality connect. Its first occurrence stays: smallest id (null last), text hash,
-    line number. Lines of fewer than ``min_words`` words aren't looked at, so
-    blank ones stay. Rows of equal id and text count as one document. Other
-    columns aren't read. Empty tables and texts lose nothing.
+    link if their edit similarity is ``least`` (0.8 or more) or more and a key
+    of theirs agrees (see the README for how many links that misses), and, with
+    a ``radius``, if the SimHashes of their words differ in so many bits at
+    most; a group is what links and equality connect. Its first occurrence
+    stays: smallest id (null last), text hash, line number. Lines of fewer than
+    ``min_words`` words aren't looked at, blank ones never are. Rows of equal id
+    and text count as one document. Very long texts and lines are taken whole.
+    Other columns aren't read. Empty tables, null and empty texts lose nothing.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
-    seen = stored(rows.mapInArrow(_lines(min_words, radius), "id long, text_hash long, line int, digest long, chars int, low_bins long, high_bins long, bands array<int>, sim long"), "lines")
-
-    distinct = stored(seen.where("bands is not null").groupBy("digest").agg(*(F.first(c).alias(c) for c in ("chars", "low_bins", "high_bins", "bands", "sim"))), "distinct")
+    seen = stored(rows.mapInArrow(_lines(min_words, radius), f"id long, text_hash long, line int, digest long, keys array<long>, {COMPARED_KINDS}"), "lines")
 
     def texts(digests: DataFrame) -> DataFrame:
-        bitmap = spark.sparkContext.broadcast(_bitmap(digests))
+        size = min(BITMAP_MOST, max(BITMAP, 1 << (16 * digests.count()).bit_length()))
+        bitmap = spark.sparkContext.broadcast(_bitmap(digests, size))
         return docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
 
-    roots = linked(distinct, texts, similar, least, radius, piece=piece)
+    roots = linked(seen, texts, similar, least, radius, piece=piece)
     grouped = seen.select("id", "text_hash", "line", "digest").join(roots, F.col("digest") == F.col("node"), "left")
     grouped = stored(grouped.select("id", "text_hash", "line", F.coalesce("root", "digest").alias("group")), "grouped")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "line")
@@ -458,20 +546,24 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_lines(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed") -> DataFrame:
-    """``docs``, the lines that repeated_lines() names taken out of the texts, and their number in ``removed``, which replaces a column of that name."""
-    named = gone.select(F.col("id").alias("_of"), F.col("text_hash").alias("_hash"), F.col("lines").alias("_lines"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_of")) & (F.xxhash64(text_col) == F.col("_hash"))
-    lines = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_lines", i))
-    kept = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
+    """``docs``, the lines that repeated_lines() names taken out of the texts, and their number in ``removed``, which replaces a column of that name.
+
+    Null texts stay null; other columns, whatever their names, stay as they are.
+    """
+    of, text_hash, numbers = unused(docs, "of", "text_hash", "lines")
+    named = gone.select(F.col("id").alias(of), F.col("text_hash").alias(text_hash), F.col("lines").alias(numbers))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(of)) & (F.xxhash64(text_col) == F.col(text_hash))
+    lines = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains(numbers, i))
+    kept = F.when(F.col(numbers).isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
     joined = docs.join(named, same, "left")
-    return joined.select(*[kept.alias(c) if c == text_col else joined[c] for c in docs.columns if c != removed], F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).alias(removed))
+    return joined.select(*[kept.alias(c) if c == text_col else joined[c] for c in docs.columns if c != removed], F.when(F.col(numbers).isNull(), 0).otherwise(F.size(numbers)).alias(removed))
 
 
 def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_removed, text of all documents, the repeated lines taken out, whatever their SimHashes."""
+    """doc_id, n_lines, n_removed, text of all documents, the repeated lines taken out."""
     docs = read_table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"), "text")
-    return without_lines(docs, repeated_lines(docs, radius=None, min_words=1)).select("doc_id", "n_lines", "n_removed", "text")
+    return without_lines(docs, repeated_lines(docs)).select("doc_id", "n_lines", "n_removed", "text")
 
 
 QUERIES = {"op10_fuzzy_lines": op10_fuzzy_lines}

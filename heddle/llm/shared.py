@@ -45,3 +45,15 @@ def drop_all(spark: SparkSession) -> None:
     """Delete every intermediate table of this application, once its results are written elsewhere."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/heddle/{spark.sparkContext.applicationId}")
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
