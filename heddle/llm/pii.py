@@ -34,6 +34,7 @@ PRIOR = 1  # texts
 DISCLOSED = 0.9
 TERM = r"[^\p{L}]+"
 TERMS_AT_ONCE = 500_000  # broadcast together; more take more passes
+BROADCAST = 500_000  # digests of 16 bytes, and a number; more of them are joined
 FOUND = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -82,8 +83,13 @@ def _located(kind: str, hits: Column, pieces: Column) -> Column:
     return F.when(n > 0, F.aggregate(rows, first, add)["out"]).otherwise(F.array().cast(FOUND))
 
 
+def _terms(text: Column) -> Column:
+    """Distinct words of over two letters, but for those in a token with a digit or an @."""
+    return F.filter(F.array_distinct(F.split(F.lower(F.regexp_replace(text, r"\S*[@0-9]\S*", " ")), TERM)), lambda w: F.length(w) > 2)
+
+
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, digest, spans FOUND) of every row: the patterns' valid matches by kind, then start. digest is the text's MD5; null is empty."""
+    """(id, digest, spans FOUND, own_terms) of every row: the patterns' valid matches by kind, then start, and the terms of the texts that have some. digest is the text's MD5; null is empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t")).withColumn("digest", F.unhex(F.md5("t")))
     none = F.array().cast("array<string>")
@@ -94,7 +100,8 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         cut[f"{kind}_pieces"] = F.when(may, F.split("t", pattern)).otherwise(none)
     rows = rows.withColumns(cut)
     spans = [F.filter(_located(k, F.col(f"{k}_hits"), F.col(f"{k}_pieces")), _keeps(k)) for k in KINDS]
-    return rows.select("id", "digest", F.concat(*spans).alias("spans"))
+    rows = rows.select("id", "digest", F.concat(*spans).alias("spans"), "t")
+    return rows.select("id", "digest", "spans", F.when(F.size("spans") > 0, _terms(F.col("t"))).alias("own_terms"))
 
 
 def _disclosure(texts: int) -> Column:
@@ -103,11 +110,6 @@ def _disclosure(texts: int) -> Column:
     return 1 + F.log2(given) / F.log2(F.lit(texts) / F.col("n_entity"))
 
 
-def _terms(text: Column) -> Column:
-    """Distinct words of over two letters, but for those in a token with a digit or an @."""
-    return F.filter(F.array_distinct(F.split(F.lower(F.regexp_replace(text, r"\S*[@0-9]\S*", " ")), TERM)), lambda w: F.length(w) > 2)
-
-
 def disclosing_terms(docs: DataFrame, base: DataFrame, text_col: str = "text") -> DataFrame | None:
     """(digest, terms array<string>) of the texts that hold terms which disclose an entity; None if there are none.
 
@@ -130,22 +132,26 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, text_col: str = "text") -
     rows = docs.select(F.unhex(F.md5(text)).alias("digest"), text.alias("t"))
     several = base.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").withColumnRenamed("digest", "of")
     several = stored(several, "several")
-    words = rows.join(several, F.col("digest") == F.col("of"), "left").select(F.coalesce("times", F.lit(1)).alias("times"), F.explode(F.array_distinct(F.split(F.lower("t"), TERM))).alias("term"))
+    few = F.broadcast(several) if several.count() <= BROADCAST else several  # then no text is shuffled
+    words = rows.join(few, F.col("digest") == F.col("of"), "left").select(F.coalesce("times", F.lit(1)).alias("times"), F.explode(F.array_distinct(F.split(F.lower("t"), TERM))).alias("term"))
     # equal texts count as one together
     counts = stored(words.groupBy("term").agg(F.round(F.sum(1 / F.col("times"))).cast("long").alias("n_term")), "counts")
     bounds = entities.groupBy("digest").agg(F.max("most").alias("bound"))
-    mine = rows.join(bounds, "digest").select("digest", "bound", F.explode(_terms(F.col("t"))).alias("term")).distinct()
+    mine = base.where("own_terms is not null").groupBy("digest").agg(F.first("own_terms").alias("own_terms"))
+    mine = mine.join(bounds, "digest").select("digest", "bound", F.explode("own_terms").alias("term"))
     mine = stored(mine.join(counts, "term").where("n_term <= bound").drop("bound"), "candidates")
     pairs = mine.join(entities, "digest").where("n_term <= most").groupBy("entity", "n_entity", "term", "n_term").agg(F.count(F.lit(1)).alias("n_pair"))
-    telling = stored(pairs.where(_disclosure(texts) >= DISCLOSED).select("term").distinct(), "telling")
-    passes = -(-telling.count() // TERMS_AT_ONCE)
-    if not passes:
+    telling = stored(pairs.where(_disclosure(texts) >= DISCLOSED).select("term", "n_term").distinct(), "telling")
+    if telling.isEmpty():
         return None
+    found = mine.join(telling.select("term"), "term").select("digest", "term")
+    # only terms that have texts beyond these are looked for in all texts
+    more = telling.join(mine.groupBy("term").agg(F.count(F.lit(1)).alias("n_found")), "term", "left").where("n_found is null or n_found < n_term")
+    more = stored(more.select("term"), "looked_for")
     words = rows.select("digest", F.explode(F.array_distinct(F.split(F.lower("t"), TERM))).alias("term"))
-    found = None
+    passes = -(-more.count() // TERMS_AT_ONCE)
     for i in range(passes):  # each broadcasts a bounded part of the terms
-        part = words.join(F.broadcast(telling.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == i)), "term", "left_semi")
-        found = part if found is None else found.union(part)
+        found = found.union(words.join(F.broadcast(more.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == i)), "term", "left_semi").select("digest", "term"))
     return stored(found.groupBy("digest").agg(F.sort_array(F.collect_set("term")).alias("terms")), "telling_by_text")
 
 
@@ -155,7 +161,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans are the base spans by kind, then start, and behind them those of kind
     "term", words that disclose an entity, where they overlap no base span.
     Null texts count as empty and have no spans. Repeated rows repeat, and
-    count once as texts. Other columns aren't read. An empty table gives no rows.
+    count once as texts. Very long texts are searched whole. Other columns
+    aren't read. An empty table gives no rows.
     """
     base = stored(base_spans(docs, id_col, text_col), "base")
     telling = disclosing_terms(docs, base, text_col)
@@ -163,7 +170,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if telling is None:
         return base.select("id", "digest", F.col("spans").alias("base"), plain.alias("spans"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.unhex(F.md5(text)).alias("digest"), text.alias("t")).join(telling, "digest")
+    rows = docs.select(F.unhex(F.md5(text)).alias("digest"), text.alias("t"))
+    if telling.count() <= BROADCAST:  # then only their texts are shuffled
+        rows = rows.join(F.broadcast(telling.select("digest")), "digest", "left_semi")
+    rows = rows.join(telling, "digest")
     rows = rows.withColumn("pattern", F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})")))
     rows = rows.select("digest", F.expr("regexp_extract_all(t, pattern, 0)").alias("hits"), F.expr("split(t, pattern)").alias("pieces"))
     rows = rows.select("digest", F.transform(_located("term", F.col("hits"), F.col("pieces")), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("terms"))

@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +134,43 @@ def test_pairs_count_over_whole_texts(spark):
     texts = [f"zorblax {far} jane@corp.example {i}" for i in range(4)] + [f"zorblax jane@corp.example {i}" for i in range(4)] + [f"{far} {i}" for i in range(300)]
     got = terms_of(spark, texts)
     assert all(got[i] == (["zorblax"] if i < 8 else []) for i in got)
+
+
+def brute_terms(texts):
+    """Terms that disclose an entity, by the definition, from all pairs of entity and term."""
+    distinct = sorted({t or "" for t in texts})
+    n = len(distinct)
+    words = [{w.lower() for w in re.findall(r"[^\W\d_]+", t)} for t in distinct]
+    n_term = Counter(w for ws in words for w in ws)
+    held = [{f"{k}:{t[a:b].lower()}" for k, a, b in plain_spans(t)} for t in distinct]
+    n_entity = Counter(e for es in held for e in es)
+    pairs = Counter()
+    for t, es in zip(distinct, held):
+        own = {w.lower() for w in re.findall(r"[^\W\d_]+", re.sub(r"\S*[@0-9]\S*", " ", t)) if len(w) > 2}
+        pairs.update((e, w) for e in es for w in own)
+    score = lambda e, w, k: 1 + math.log2((k + n_entity[e] / n) / (n_term[w] + 1)) / math.log2(n / n_entity[e])
+    return {w for (e, w), k in pairs.items() if n_entity[e] < n and score(e, w, k) >= 0.9}
+
+
+def test_disclosure_matches_brute_force(spark):
+    rng = np.random.default_rng(14)
+    words = [f"{a}{b}{c}o" for a in "bcdfgh" for b in "aei" for c in "klmnprst"]
+    weight = 1 / np.arange(1, len(words) + 1)
+    people = [("karlo", "karlo@corp.example"), ("mirna", "+49 30 1234 567"), ("tosca", "10.1.2.3"), ("velma", "velma@a.b")]
+    texts = []
+    for _ in range(400):
+        own = rng.choice(words, rng.integers(3, 25), p=weight / weight.sum()).tolist()
+        for name, mark in people:
+            if rng.random() < 0.03:
+                own.insert(int(rng.integers(len(own))), mark)
+                if rng.random() < 0.9:
+                    own.insert(int(rng.integers(len(own))), name.title())
+        texts.append(" ".join(own))
+    texts += texts[:40] + ["Karlo was here", None, ""]
+    want = brute_terms(texts)
+    assert {"karlo", "mirna"} & want
+    for i, found in terms_of(spark, texts).items():
+        t = texts[i] or ""
+        base = [(a, b) for _, a, b in plain_spans(t)]
+        spans = [m.span() for m in re.finditer(r"[^\W\d_]+", t) if m[0].lower() in want]
+        assert found == [t[a:b] for a, b in spans if not any(x < b and a < y for x, y in base)], t
