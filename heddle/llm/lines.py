@@ -253,6 +253,10 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
+    # words replaced one by one bound the distance from above
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y) if v != w) <= most:
+        return True
     return edit_distance(a, b, most) <= most
 
 
@@ -261,25 +265,26 @@ COMPARED_KINDS = "chars int, short_low long, short_high long, long_low long, lon
 
 
 def _lines(min_words: int, radius: int | None):
-    def lines_of(texts: list[str | None], start: int):
-        """(row, line number, normalised line) of ``texts``, some CHARS_AT_ONCE characters together."""
-        which, number, lines, held = [], [], [], 0
-        for row, text in enumerate(texts, start):
-            for n, line in enumerate((text or "").split("\n")):
-                line = normal(line)
+    def lines_of(texts: list[str | None]):
+        """Rows, line numbers, normalised lines and lines of ``texts``, some CHARS_AT_ONCE characters together."""
+        which, number, lines, raws, held = [], [], [], [], 0
+        for row, text in enumerate(texts):
+            for n, raw in enumerate((text or "").split("\n")):
+                line = normal(raw)
                 if line and line.count(" ") >= min_words - 1:
                     which.append(row)
                     number.append(n)
                     lines.append(line)
+                    raws.append(raw)
                     held += len(line)
                     if held >= CHARS_AT_ONCE:
-                        yield which, number, lines
-                        which, number, lines, held = [], [], [], 0
-        yield which, number, lines
+                        yield which, number, lines, raws
+                        which, number, lines, raws, held = [], [], [], [], 0
+        yield which, number, lines, raws
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for which, number, lines in lines_of(batch.column(2).to_pylist(), 0):
+            for which, number, lines, raws in lines_of(batch.column(2).to_pylist()):
                 digest = np.array([line_digest(x) for x in lines], dtype=np.uint64)
                 rows = pa.array(which, pa.int64())
                 # what a line is compared by stands at its first occurrence of those looked at together
@@ -287,16 +292,17 @@ def _lines(min_words: int, radius: int | None):
                 own = [lines[k] for k in once.tolist()]
                 line, keys, short, long = keys_of(own)
                 sim = np.zeros(len(own), np.uint64) if radius is None else simhashes(own)
+                raw = np.array([line_digest(raws[k]) for k in once.tolist()], np.uint64)
                 place = np.full(len(lines), -1)
                 place[once] = np.arange(len(once))
                 at = pa.array(place, mask=place < 0)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(own)))]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))
-                compared = [np.ascontiguousarray(x).view(np.int64) for x in (short[:, 0], short[:, 1], long[:, 0], long[:, 1], sim)]
+                compared = [np.ascontiguousarray(x).view(np.int64) for x in (short[:, 0], short[:, 1], long[:, 0], long[:, 1], sim, raw)]
                 chars = pa.array(np.array([len(x) for x in own], np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(digest.view(np.int64)), listed.take(at), chars.take(at), *(pa.array(x).take(at) for x in compared)],
-                    ["id", "text_hash", "line", "digest", "keys", *COMPARED],
+                    ["id", "text_hash", "line", "digest", "keys", *COMPARED, "raw"],
                 )
 
     return run
@@ -434,6 +440,7 @@ def _apart(least: float, radius: int | None):
 def _verified(least: float, radius: int | None, alike: Callable):
     def work(rows: pa.Table) -> pa.RecordBatch:
         table, digest, text = _numeric(rows), rows.column("digest").to_numpy(), rows.column("t")
+        keys = [frozenset(k) for k in rows.column("keys").to_pylist()]
         _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
         parent = list(range(int(label.max()) + 1)) if len(label) else []
 
@@ -447,7 +454,7 @@ def _verified(least: float, radius: int | None, alike: Callable):
             other = label[a] != label[b]
             for i, j in zip(a[other].tolist(), b[other].tolist()):
                 x, y = root(int(label[i])), root(int(label[j]))
-                if x != y and alike(text[i].as_py(), text[j].as_py(), least):
+                if x != y and table["key"][i] == min(keys[i] & keys[j]) and alike(text[i].as_py(), text[j].as_py(), least):
                     parent[max(x, y)] = min(x, y)
                     found.append((digest[i], digest[j]))
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
@@ -456,21 +463,29 @@ def _verified(least: float, radius: int | None, alike: Callable):
 
 
 def _wanted(bitmap, min_words: int):
+    """(digest, t) of the normalised lines whose digests before that are in the bitmap."""
+
+    def sent(found: dict[int, str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.array(list(found), np.uint64).view(np.int64)), pa.array(found.values(), pa.string())], ["digest", "t"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         size = 8 * len(bits)
+        found: dict[int, str] = {}
+        held = 0
         for batch in batches:
             for text in batch.column(0):
-                found: dict[int, str] = {}
-                for line in (text.as_py() or "").split("\n"):
-                    line = normal(line)
-                    if line and line.count(" ") >= min_words - 1:
-                        d = line_digest(line)
-                        at = d % size
-                        if bits[at >> 3] >> (at & 7) & 1:
-                            found[d] = line
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(list(found), np.uint64).view(np.int64)), pa.array(found.values(), pa.string())], ["digest", "t"])
+                for raw in (text.as_py() or "").split("\n"):
+                    at = line_digest(raw) % size
+                    if bits[at >> 3] >> (at & 7) & 1:
+                        line = normal(raw)
+                        if line and line.count(" ") >= min_words - 1:
+                            found[line_digest(line)] = line
+                            held += len(line)
+                if held >= CHARS_AT_ONCE:
+                    yield sent(found)
+                    found, held = {}, 0
+        yield sent(found)
 
     return run
 
@@ -507,7 +522,8 @@ def linked(seen: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Call
     rest = near.drop("nearest").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
     rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
     rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius), 50_000), rest.schema), "rest")
-    again = rest.join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
+    held = seen.where("keys is not null").join(rest.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("keys").alias("keys"))
+    again = rest.join(held, "digest").join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
     more = stored(again.mapInArrow(_whole_shards(_verified(least, radius, alike), 4_000), "a long, b long"), "links")
     return stored(components(stars.union(more)), "roots")
 
@@ -528,11 +544,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
-    seen = stored(rows.mapInArrow(_lines(min_words, radius), f"id long, text_hash long, line int, digest long, keys array<long>, {COMPARED_KINDS}"), "lines")
+    seen = stored(rows.mapInArrow(_lines(min_words, radius), f"id long, text_hash long, line int, digest long, keys array<long>, {COMPARED_KINDS}, raw long"), "lines")
 
     def texts(digests: DataFrame) -> DataFrame:
-        size = min(BITMAP_MOST, max(BITMAP, 1 << (16 * digests.count()).bit_length()))
-        bitmap = spark.sparkContext.broadcast(_bitmap(digests, size))
+        raw = stored(seen.where("keys is not null").join(digests, "digest", "left_semi").select(F.col("raw").alias("digest")), "wanted")
+        size = min(BITMAP_MOST, max(BITMAP, 1 << (16 * raw.count()).bit_length()))
+        bitmap = spark.sparkContext.broadcast(_bitmap(raw, size))
         return docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
 
     roots = linked(seen, texts, similar, least, radius, piece=piece)
