@@ -34,16 +34,17 @@ TINY = range(4, 10)  # characters: one edit at most, so that some deletion of ea
 SHORT, SHORT_GRAM = range(8, 41), 6  # a key for every second bin
 MIDDLE = range(32, 76)  # SHORT_GRAM too; a key for two bins that stand apart
 LONG, LONG_GRAM, LONG_KEYS = range(60, 1 << 62), 12, 10  # as MIDDLE, so many keys
-#: How a key's pairs are compared, in its lowest bits: not at all, or by so many equal bins, of 4 bits each, at least.
+#: How a key's pairs are compared, in its lowest bits: not at all; by bitmaps of the lines' bigrams, of which an edit
+#: changes two; or by AGREE equal bins at least, of 4 bits each (those that differ agree once in 16 by chance).
 ANY, SHORT_KIND, LONG_KIND = 0, 1, 2
-AGREE = (0, 4, 10)  # bins that differ by chance agree once in 16
+AGREE = 10
 SIMILAR = 0.8  # 1 - edits / length of the longer line
 MIN_WORDS = 1
 PIECE = 512
 BITMAP, BITMAP_MOST = 1 << 24, 1 << 28  # bits, 16 for each line that is asked for; beyond the most, more lines travel than are asked for
 PAIRS = 1 << 18  # looked at together
 WORDS_AT_ONCE = 100_000
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 18
 BROADCAST = 1 << 20  # rows of a number or two; more of them are joined
 
 
@@ -167,8 +168,19 @@ def bands(sketch: np.ndarray, keys: int, kind: int) -> np.ndarray:
     return _numbered(sketch[:, :keys] * np.uint64(31) + sketch[:, half : half + keys], kind)
 
 
+def bigrams(lines: list[str]) -> np.ndarray:
+    """128-bit map (two numbers) of each line's bigrams; lines have two characters or more."""
+    h = _gram_hashes(np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32), 2)
+    n = np.array([len(x) for x in lines])
+    begins = np.cumsum(n) - n
+    bit = np.uint64(1) << (h & np.uint64(63))
+    bit[begins + n - 1] = 0  # it crosses into the next line
+    high = (h >> np.uint64(6) & np.uint64(1)).astype(bool)
+    return np.stack([np.bitwise_or.reduceat(np.where(high == half, bit, np.uint64(0)), begins) for half in (False, True)], axis=1)
+
+
 def keys_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(line, key) of each key in order of lines, and nibbles of the sketches by SHORT_GRAM and LONG_GRAM (0 where a line has none)."""
+    """(line, key) of each key in order of lines, the short lines' bigrams, and nibbles of the long ones' sketches (0 where a line has none)."""
     length = np.array([len(x) for x in lines])
     at, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
     short, long = np.zeros((2, len(lines), 2), np.uint64)
@@ -188,7 +200,7 @@ def keys_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     own = among(range(SHORT.start, MIDDLE.stop), np.arange(len(lines)))
     if len(own):
         sketch = sketches([lines[n] for n in own.tolist()], SHORT_GRAM)
-        short[own] = nibbles(sketch)
+        short[own] = bigrams([lines[n] for n in own.tolist()])
         k = among(SHORT, own)
         add(own[k], _numbered(sketch[k][:, ::2], SHORT_KIND))
         k = among(MIDDLE, own)
@@ -251,13 +263,26 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return score
 
 
+def aligned(x: list[str], y: list[str], most: int, ahead: int = 4) -> bool:
+    """Whether words that are passed over up to the next equal ones, a few ahead, bound the distance by ``most`` from above."""
+    i = j = cost = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i += 1
+            j += 1
+            continue
+        p, q = next(((p, n - p) for n in range(1, 2 * ahead) for p in range(max(0, n - ahead), min(n, ahead) + 1) if i + p < len(x) and j + n - p < len(y) and x[i + p] == y[j + n - p]), (1, 1))
+        cost += max(sum(map(len, x[i : i + p])) + p, sum(map(len, y[j : j + q])) + q)
+        if cost > most:
+            return False
+        i += p
+        j += q
+    return cost + sum(len(w) + 1 for w in (*x[i:], *y[j:])) <= most
+
+
 def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
-    # words replaced one by one bound the distance from above
-    x, y = a.split(" "), b.split(" ")
-    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y) if v != w) <= most:
-        return True
-    return edit_distance(a, b, most) <= most
+    return aligned(a.split(" "), b.split(" "), most) or edit_distance(a, b, most) <= most
 
 
 COMPARED = ["chars", "short_low", "short_high", "long_low", "long_high", "sim"]
@@ -344,6 +369,18 @@ def _groups(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(fresh))
 
 
+def comparable(kind: np.ndarray, halves: list[tuple[np.ndarray, np.ndarray]], edits: np.ndarray) -> np.ndarray:
+    """Whether pairs under keys of these kinds may differ in so many edits: certain for short lines, likely for long ones."""
+    ok = np.ones(len(kind), bool)
+    k = np.flatnonzero(kind == SHORT_KIND)
+    own = [(x[k], y[k]) for x, y in halves]
+    for flip in (False, True):
+        ok[k] &= sum(np.bitwise_count((y & ~x) if flip else (x & ~y)).astype(np.int64) for x, y in own) <= 2 * edits[k]
+    k = np.flatnonzero(kind == LONG_KIND)
+    ok[k] = sum(agreeing(x[k], y[k]) for x, y in halves) >= AGREE
+    return ok
+
+
 def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of the same key and pair of pieces whose lengths allow a similarity of ``least``, whose sketches agree as their key's kind asks, and whose SimHashes agree but for ``radius`` bits."""
     first, last = _groups(table)
@@ -351,7 +388,6 @@ def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> It
     left = np.flatnonzero(end - np.arange(len(end)) > 1)
     later = end[left] - left - 1
     total = np.cumsum(later)
-    asked = np.array(AGREE)
     start = 0
     while start < len(left):
         stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS, side="right")))
@@ -363,7 +399,7 @@ def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> It
         x, y = table["chars"][a], table["chars"][b]
         near &= np.abs(x - y) <= (1 - least) * np.maximum(x, y) + 1e-9
         a, b = a[near], b[near]
-        near = sum(agreeing(table[k][a], table[k][b]) for k in ("low", "high")) >= asked[table["key"][a] & 3]
+        near = comparable(table["key"][a] & 3, [(table[k][a], table[k][b]) for k in ("low", "high")], ((1 - least) * np.maximum(x, y)[near] + 1e-9).astype(np.int64))
         if radius is not None:
             near &= np.bitwise_count(table["sim"][a] ^ table["sim"][b]) <= radius
         yield a[near], b[near]
@@ -511,7 +547,7 @@ def linked(seen: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Call
     parts = int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = shards(seen, piece).repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
     kind = T.StructType([*dealt.schema.fields, T.StructField("nearest", T.LongType())])
-    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius), 50_000), kind), "near")
+    near = stored(dealt.mapInArrow(_whole_shards(_neighbours(least, radius), 20_000), kind), "near")
     first = stored(near.groupBy("digest").agg(F.min("nearest").alias("nearest")), "first")
     fetched = stored(texts(first.select("digest")).groupBy("digest").agg(F.first("t").alias("t")).withColumnRenamed("digest", "of"), "fetched")
     pairs = first.where("nearest < digest").select(F.col("digest").alias("a"), F.col("nearest").alias("b"))
@@ -521,7 +557,7 @@ def linked(seen: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Call
     labels = stored(components(stars), "labels")
     rest = near.drop("nearest").join(labels, F.col("digest") == F.col("node"), "left").drop("node")
     rest = rest.withColumn("label", F.coalesce("root", "digest")).drop("root").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
-    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius), 50_000), rest.schema), "rest")
+    rest = stored(rest.mapInArrow(_whole_shards(_apart(least, radius), 20_000), rest.schema), "rest")
     held = seen.where("keys is not null").join(rest.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("keys").alias("keys"))
     again = rest.join(held, "digest").join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
     more = stored(again.mapInArrow(_whole_shards(_verified(least, radius, alike), 4_000), "a long, b long"), "links")

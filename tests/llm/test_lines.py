@@ -121,13 +121,53 @@ def test_query(spark):
 
 
 def found(lines, pairs):
-    """Whether each pair of lines shares a key, and its sketches agree as that kind of key asks."""
+    """Whether each pair of lines shares a key under which it is compared."""
     line, key, short, long = L.keys_of(lines)
     own = [set() for _ in lines]
     for n, k in zip(line.tolist(), key.tolist()):
         own[n].add(k)
-    equal = lambda kind, a, b: 32 if kind == L.ANY else int(L.agreeing(*(({1: short, 2: long}[kind])[x] for x in (a, b))).sum())
-    return np.array([any(equal(k & 3, a, b) >= L.AGREE[k & 3] for k in own[a] & own[b]) for a, b in pairs])
+    out = []
+    for a, b in pairs:
+        kinds = np.array(sorted({k & 3 for k in own[a] & own[b]}), np.int64)
+        most = np.full(len(kinds), int(0.2 * max(len(lines[a]), len(lines[b])) + 1e-9))
+        halves = [tuple(np.array([(long if k == L.LONG_KIND else short)[n, h] for k in kinds], np.uint64) for n in (a, b)) for h in (0, 1)]
+        out.append(bool(len(kinds)) and bool(L.comparable(kinds, halves, most).any()))
+    return np.array(out)
+
+
+def test_words_passed_over_bound_the_distance():
+    rng = np.random.default_rng(15)
+    accepted = 0
+    for _ in range(500):
+        x = [str(w) for w in rng.choice(list("abcde") + ["longer", "other"], rng.integers(1, 14))]
+        y = list(x)
+        for _ in range(rng.integers(0, 4)):
+            at = int(rng.integers(len(y) + 1))
+            if rng.random() < 0.5:
+                y[at : at + 1] = []
+            else:
+                y.insert(at, str(rng.choice(["new", "a", "longer"])))
+        a, b = " ".join(x), " ".join(y)
+        for most in (0, 2, 5, 9):
+            if L.aligned(x, y, most):
+                accepted += 1
+                assert levenshtein(a, b) <= most
+    assert accepted > 300
+
+
+def test_bigram_bitmaps_lose_no_pair():
+    rng = np.random.default_rng(16)
+    for _ in range(300):
+        a = "".join(rng.choice(list("abcdef "), rng.integers(8, 76)))
+        b = list(a)
+        for _ in range(int(0.2 * len(a))):
+            at = int(rng.integers(len(b)))
+            b[at : at + 1] = [[], ["x"], ["a", "b"]][rng.integers(3)]
+        b = "".join(b)
+        d = levenshtein(a, b)
+        if len(b) >= 2:
+            m = L.bigrams([a, b])
+            assert L.comparable(np.array([L.SHORT_KIND]), [(m[:1, h], m[1:, h]) for h in (0, 1)], np.array([d]))[0]
 
 
 def test_recall_against_all_similar_pairs(spark):
