@@ -1,16 +1,23 @@
 """Embedding near-dedup by iterative quantisation (Gong and Lazebnik) and multi-index Hamming tables.
 
 Rotations of the principal directions are learned so that the signs are
-balanced, low-loss codes. The codes are cut into substrings, one hash table
-each; vectors that share a substring and a label are candidates, and the
-original vectors decide. A pair counts only in the first table that holds it,
-so no table of pairs is ever made: a task sums up each vector's links and
-leaves a spanning forest of them. Large buckets are cut into pieces, and each
-pair of pieces is a task of bounded size of its own.
+balanced, low-loss codes. Substrings of the codes are the keys of one hash table
+each. Their width follows the number of vectors, and how many tables there are
+follows from the share of bits that a turn by the threshold's angle flips on the
+sample, so that the recall holds for vectors with a common mean too. Vectors
+that share a substring and a label, and whose codes lie within a radius, are
+candidates, and the original vectors decide.
+
+Keys and codes are dealt to all tables; vectors only to those buckets in which
+they have a candidate. A pair counts only in the first table that holds it, so
+no table of pairs is ever made: a task sums up each vector's links and leaves a
+spanning forest of them. Large buckets are cut into pieces, and each pair of
+pieces is a task of bounded size of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +31,20 @@ from heddle.llm.shared import stored
 from heddle.sources import read_table
 
 COSINE = 0.98
-WIDTH, TABLES = 16, 8  # bits of a substring, substrings
+RECALL = 0.98  # of pairs at the threshold, by the flips seen on the sample
+WIDTHS = range(4, 25)  # bits of a substring
+BUCKET = 32  # vectors of a label to a bucket, about
+TABLES = 64  # at most; narrower substrings take the place of more
+CODE = 128  # bits of a code at least
 SAMPLE = 10_000  # vectors that the rotations are fitted on
 ROUNDS = 40
 PIECE = 128
 PAIRS = 1 << 15  # looked at together
+BROADCAST = 500_000  # buckets of more than a piece, of some 40 bytes each; more of them are joined
+DEALT = ["bucket", "one", "two"]
 
 
-def fit_rotations(x: np.ndarray, bits: int = WIDTH * TABLES, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def fit_rotations(x: np.ndarray, bits: int, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection d x bits) for unit vectors ``x``: as many rotations of its principal directions as ``bits`` need."""
     rng = np.random.default_rng(seed)
     n, d = x.shape
@@ -50,11 +63,29 @@ def fit_rotations(x: np.ndarray, bits: int = WIDTH * TABLES, rounds: int = ROUND
     return mean, np.concatenate(parts, axis=1)[:, :bits]
 
 
-def codes_of(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], width: int = WIDTH) -> np.ndarray:
-    """Substrings (n x tables) of the codes of unit vectors."""
+def signs_of(x: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Code bits (n x bits) of unit vectors."""
     mean, projection = model
-    signs = ((x - mean) @ projection >= 0).reshape(len(x), -1, width)
-    return signs @ (1 << np.arange(width))
+    return (x - mean) @ projection >= 0
+
+
+def flips(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], cosine: float, seed: int = 11) -> float:
+    """Share of the code's bits that a turn of unit vectors to ``cosine`` flips."""
+    turn = np.random.default_rng(seed).standard_normal(x.shape)
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-300)
+    return float((signs_of(x, model) != signs_of(cosine * x + math.sqrt(1 - cosine**2) * turn, model)).mean())
+
+
+def layout(n: int, flipped: float, recall: float = RECALL) -> tuple[int, int]:
+    """(width, tables) for ``n`` vectors of a label: all substrings of a pair differ in a share of 1 - ``recall`` at most."""
+    width = min(max(math.ceil(math.log2(max(n, 1) / BUCKET)) if n > BUCKET else 0, WIDTHS.start), WIDTHS.stop - 1)
+    while True:
+        whole = (1 - flipped) ** width
+        tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - whole))) if whole < 1 else 1
+        if tables <= TABLES or width == 1:
+            return width, min(tables, TABLES)
+        width -= 1
 
 
 def _unit(vectors: pa.Array, d: int) -> np.ndarray:
@@ -63,91 +94,140 @@ def _unit(vectors: pa.Array, d: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _fit(distinct: DataFrame, sample: int, bits: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _fit(distinct: DataFrame, sample: int, cosine: float) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], int, int, int]:
+    """Models by length of vectors, width and number of the substrings, and the codes' radius."""
     rows = distinct.orderBy(F.xxhash64("vec"), "key").limit(sample).select("vec").toArrow().column("vec").combine_chunks()
-    lengths = np.array([len(v) for v in rows.to_pylist()])
-    enough = [int(d) for d in np.unique(lengths) if (lengths == d).sum() >= 2 * d]
-    return {d: fit_rotations(_unit(rows.filter(pa.array(lengths == d)), d), bits) for d in enough}
+    most = distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    lengths = np.array([len(v) for v in rows])
+    units = {int(d): _unit(rows.filter(pa.array(lengths == d)), d) for d in np.unique(lengths) if (lengths == d).sum() >= 2 * d}
+    chance = math.acos(cosine) / math.pi  # of random hyperplanes
+    flipped = max([chance, *(flips(x, fit_rotations(x, min(64, CODE)), cosine) for x in units.values())])
+    width, tables = layout(most, flipped)
+    bits = -(-max(CODE, width * tables) // 64) * 64
+    radius = math.ceil(bits * flipped + 6 * math.sqrt(bits * flipped * (1 - flipped)))
+    return {d: fit_rotations(x, bits) for d, x in units.items()}, width, tables, min(radius, bits)
+
 
+def _coded(models: dict, width: int, tables: int, bits: int):
+    """Adds the substrings and the whole code of each vector."""
 
-def _coded(models: dict, width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vec = batch.column("vec")
             lengths = vec.value_lengths().to_numpy(zero_copy_only=False)
-            out = np.zeros((len(lengths), bits // width), np.int64)
+            signs = np.zeros((len(lengths), bits), bool)
             for d in np.unique(lengths).tolist():
                 if d not in models:  # a length of which the sample has too few: random hyperplanes
-                    rng = np.random.default_rng(d)
-                    models[d] = (np.zeros(d), rng.standard_normal((d, bits)))
+                    models[d] = (np.zeros(d), np.random.default_rng(d).standard_normal((d, bits)))
                 at = lengths == d
-                out[at] = codes_of(_unit(vec.filter(pa.array(at)), d), models[d], width)
-            codes = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, out.shape[1]), pa.int32()), pa.array(out.ravel().astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, codes], [*batch.schema.names, "codes"])
+                signs[at] = signs_of(_unit(vec.filter(pa.array(at)), d), models[d])
+            parts = (signs[:, : width * tables].reshape(-1, tables, width) @ (1 << np.arange(width))).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(0, parts.size + 1, tables), pa.int32()), pa.array(parts.ravel()))
+            code = pa.array([row.tobytes() for row in np.packbits(signs, axis=1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "label", "dim")), listed, code], ["key", "label", "dim", "parts", "code"])
 
     return run
 
 
-def _matches(rows: pa.Table, cosine: float) -> pa.RecordBatch:
-    """Links among rows that are sorted by bucket and pair of pieces; (a, b, n): key, a key linked to it, links' weight."""
-    num = {c: rows.column(c).to_numpy() for c in ("bucket", "value", "one", "two", "role", "dim", "place", "key", "weight")}
+def _codes(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+
+
+def _near(num: dict[str, np.ndarray], codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows to compare of the same bucket and pair of pieces, sorted by these, whose codes lie within the radius."""
     n = len(num["key"])
     fresh = np.ones(n, bool)
-    fresh[1:] = np.any([num[c][1:] != num[c][:-1] for c in ("bucket", "value", "one", "two")], axis=0)
+    fresh[1:] = np.any([num[c][1:] != num[c][:-1] for c in DEALT], axis=0)
     first = np.flatnonzero(fresh)
     end = np.append(first[1:], n)[np.cumsum(fresh) - 1]
-    codes = rows.column("codes").combine_chunks().flatten().to_numpy().reshape(n, -1)
-    keys, at = np.unique(num["key"], return_inverse=True)
-    links = np.zeros(len(keys), np.int64)
-    a_all, b_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    vec = rows.column("vec").combine_chunks()
-    for d in np.unique(num["dim"]).tolist():
-        own = np.flatnonzero(num["dim"] == d)
-        unit = np.zeros((n, d))
-        unit[own] = _unit(vec.take(pa.array(own)), d)
-        left = own[end[own] - own > 1]
-        later = end[left] - left - 1
-        total = np.cumsum(later)
-        start = 0
-        while start < len(left):
-            stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS, side="right")))
-            count = later[start:stop]
-            a = np.repeat(left[start:stop], count)
-            b = a + 1 + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            start = stop
-            good = ((num["role"][a] == 0) | (num["role"][a] != num["role"][b])) & (num["dim"][b] == d)
+    left = np.flatnonzero(end - np.arange(n) > 1)
+    later = end[left] - left - 1
+    total = np.cumsum(later)
+    start = 0
+    while start < len(left):
+        stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS, side="right")))
+        count = later[start:stop]
+        a = np.repeat(left[start:stop], count)
+        b = a + 1 + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start = stop
+        good = (num["role"][a] == 0) | (num["role"][a] != num["role"][b])
+        a, b = a[good], b[good]
+        good = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1) <= radius
+        yield a[good], b[good]
+
+
+def _numeric(rows: pa.Table, *more: str) -> dict[str, np.ndarray]:
+    return {c: rows.column(c).to_numpy() for c in (*DEALT, "role", "key", *more)}
+
+
+def _candidates(radius: int):
+    """The rows that have a candidate."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        num, has = _numeric(rows), np.zeros(rows.num_rows, bool)
+        for a, b in _near(num, _codes(rows), radius):
+            has[a] = has[b] = True
+        at = pa.array(np.flatnonzero(has))
+        return pa.RecordBatch.from_arrays([rows.column(c).combine_chunks().take(at) for c in rows.schema.names], rows.schema.names)
+
+    return work
+
+
+def _linked(cosine: float, radius: int):
+    """Links among the rows: (a, b, n): key, a key linked to it, links' weight."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        num, codes = _numeric(rows, "dim", "place", "weight", "same"), _codes(rows)
+        parts = rows.column("parts").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+        keys, at = np.unique(num["key"], return_inverse=True)
+        links, weight = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        weight[at] = num["weight"]
+        a_all, b_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        vec = rows.column("vec").combine_chunks()
+        units, place = {}, np.zeros(rows.num_rows, np.int64)
+        for d in np.unique(num["dim"]).tolist():
+            own = np.flatnonzero(num["dim"] == d)
+            units[d], place[own] = _unit(vec.take(pa.array(own)), d), np.arange(len(own))
+        for a, b in _near(num, codes, radius):
+            good = (num["dim"][a] == num["dim"][b]) & (num["same"][a] == num["same"][b])
             a, b = a[good], b[good]
-            same = codes[a] == codes[b]
-            good = same.argmax(axis=1) == num["place"][a]
+            good = (parts[a] == parts[b]).argmax(axis=1) == num["place"][a]
             a, b = a[good], b[good]
-            good = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
-            a, b = at[a[good]], at[b[good]]
-            w = np.zeros(len(keys), np.int64)
-            w[at] = num["weight"]
-            np.add.at(links, a, w[b])
-            np.add.at(links, b, w[a])
-            a_all.append(a)
-            b_all.append(b)
-    root = local_roots(len(keys), np.concatenate(a_all), np.concatenate(b_all))
-    has = links > 0
-    return pa.RecordBatch.from_arrays([pa.array(keys[has]), pa.array(keys[root[has]]), pa.array(links[has])], ["a", "b", "n"])
-
-
-def _linked(cosine: float, at_once: int = 4096):
+            for d, unit in units.items():
+                own = num["dim"][a] == d
+                x, y = a[own], b[own]
+                good = np.einsum("ij,ij->i", unit[place[x]], unit[place[y]]) >= cosine
+                x, y = at[x[good]], at[y[good]]
+                np.add.at(links, x, weight[y])
+                np.add.at(links, y, weight[x])
+                a_all.append(x)
+                b_all.append(y)
+        root = local_roots(len(keys), np.concatenate(a_all), np.concatenate(b_all))
+        has = links > 0
+        return pa.RecordBatch.from_arrays([pa.array(keys[has]), pa.array(keys[root[has]]), pa.array(links[has])], ["a", "b", "n"])
+
+    return work
+
+
+def _whole(work, at_once: int):
+    """``work`` on rows that come sorted by bucket and pair of pieces, never cutting these."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
+            if not len(batch):
+                continue
             held.append(batch)
             if sum(map(len, held)) < at_once:
                 continue
             rows = pa.Table.from_batches(held)
-            place = np.any([(c := rows.column(k).to_numpy()) != c[-1] for k in ("bucket", "value", "one", "two")], axis=0)
-            cut = int(np.flatnonzero(place)[-1]) + 1 if place.any() else 0
+            apart = np.any([(c := rows.column(k).to_numpy()) != c[-1] for k in DEALT], axis=0)
+            cut = int(np.flatnonzero(apart)[-1]) + 1 if apart.any() else 0
             if cut:
-                yield _matches(rows.slice(0, cut), cosine)
+                yield work(rows.slice(0, cut))
             held = rows.slice(cut).combine_chunks().to_batches()
         if held:
-            yield _matches(pa.Table.from_batches(held), cosine)
+            yield work(pa.Table.from_batches(held))
 
     return run
 
@@ -159,11 +239,13 @@ def near_vectors(
 
     Vectors link if their labels are equal and not null, their lengths equal
     and their cosine, in double precision, is ``cosine`` or more; the search
-    may miss some of these, and finds none else. Null or zero vectors and those
-    with a null, NaN or infinite component link with nothing. Equal vectors
-    count one by one as links, repeated rows too. Rows with a null id are
-    counted but don't stand for a component. Other columns aren't read. An
-    empty table gives no rows.
+    may miss some of these (RECALL of those at the threshold are aimed at), and
+    finds none else. Null or zero vectors and those with a null, NaN or infinite
+    component link with nothing. Equal vectors count one by one as links,
+    repeated rows too. Rows with a null id are counted but don't stand for a
+    component. Very long vectors are compared whole. Other columns aren't read.
+    An empty table gives no rows. The rotations are fitted on ``sample``
+    distinct vectors at most, chosen by a hash; all are coded.
     """
     spark = vectors.sparkSession
     vec = F.col(vector_col)
@@ -173,33 +255,26 @@ def near_vectors(
     distinct = rows.where("valid").groupBy("label", "vec").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("weight"))
     distinct = stored(distinct.withColumn("key", F.monotonically_increasing_id()), "vectors")
 
-    bits = WIDTH * TABLES
-    plain = distinct.select("key", "weight", "label", "vec")
-    kind = T.StructType([*plain.schema.fields, T.StructField("codes", T.ArrayType(T.IntegerType()))])
-    coded = stored(plain.mapInArrow(_coded(_fit(distinct, sample, bits), WIDTH, bits), kind), "codes")
-    parts = coded.select("*", F.size("vec").alias("dim"), F.posexplode("codes").alias("place", "value"))
-    parts = parts.withColumn("bucket", F.xxhash64("label", "dim", "place"))
-    large = parts.groupBy("bucket", "value").count().where(F.col("count") > piece)
-    large = large.select("bucket", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
-    cut = parts.join(large, ["bucket", "value"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    models, width, tables, radius = _fit(distinct, sample, cosine)
+    bits = -(-max(CODE, width * tables) // 64) * 64
+    plain = distinct.select("key", "label", F.size("vec").alias("dim"), "vec")
+    kind = T.StructType([*plain.drop("vec").schema.fields, T.StructField("parts", T.ArrayType(T.IntegerType())), T.StructField("code", T.BinaryType())])
+    coded = stored(plain.mapInArrow(_coded(models, width, tables, bits), kind), "codes")
+    rows_of = coded.select("key", "code", F.posexplode("parts").alias("place", "value"), "label", "dim")
+    rows_of = rows_of.select(F.xxhash64("label", "dim", "place", "value").alias("bucket"), "place", "key", "code")
+    large = rows_of.groupBy("bucket").count().where(F.col("count") > piece)
+    large = stored(large.select("bucket", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "large")
+    cut = rows_of.join(F.broadcast(large) if large.count() <= BROADCAST else large, "bucket", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    dealt = cut.select(
-        "bucket",
-        "value",
-        F.least("own", "other").alias("one"),
-        F.greatest("own", "other").alias("two"),
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role"),
-        "dim",
-        "place",
-        "key",
-        "weight",
-        "codes",
-        "vec",
-    )
-    order = ["bucket", "value", "one", "two"]
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    links = stored(dealt.mapInArrow(_linked(cosine), "a long, b long, n long"), "links")
+    role = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role")
+    dealt = cut.select("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, "place", "key", "code")
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(shuffled, *DEALT).sortWithinPartitions(*DEALT)
+    near = stored(dealt.mapInArrow(_whole(_candidates(radius), 16_384), dealt.schema), "near")
+    whole = distinct.select("key", "vec", "weight", F.xxhash64(F.lit(1), "label").alias("same"), F.size("vec").alias("dim"))
+    near = near.join(whole, "key").join(coded.select("key", "parts"), "key").repartition(shuffled, *DEALT).sortWithinPartitions(*DEALT)
+    links = stored(near.mapInArrow(_whole(_linked(cosine, radius), 4096), "a long, b long, n long"), "links")
 
     roots = stored(components(links.select("a", "b")), "roots")
     counts = stored(links.groupBy("a").agg(F.sum("n").alias("n")), "counts")
@@ -220,4 +295,19 @@ def op3_embedding_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_embedding_itq": op3_embedding_itq}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_embedding_itq": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= {COSINE}),
+reached AS (SELECT vec_id AS node, vec_id AS other FROM embeddings UNION SELECT node, b FROM reached JOIN links ON other = a),
+grouped AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN grouped ON node = vec_id LEFT JOIN counted ON a = vec_id
+"""
+}

@@ -85,3 +85,31 @@ def test_query(spark):
     true = ((x @ x.T >= 0.98) & (lab[:, None] == lab[None, :])).sum(axis=1) - 1
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in E.op3_embedding_itq(spark, sf).collect()}
     assert true.sum() == 0 and got == {r[0]: (0, r[0], True) for r in rows}
+
+
+@pytest.mark.parametrize("common", [0.5, 0.8, 0.9])
+def test_recall_of_vectors_with_a_common_mean(spark, common):
+    """Vectors whose mean cosine is ``common``, in groups of four near the threshold."""
+    rng = np.random.default_rng(5)
+    mean = rng.standard_normal(64)
+    mean *= np.sqrt(common) / np.linalg.norm(mean)
+    rows, cosines = [], []
+    for g in range(250):
+        base = rng.standard_normal(64)
+        base = mean + base * np.sqrt(1 - common) / np.linalg.norm(base)
+        for _ in range(4):
+            rows.append((len(rows), [float(v) for v in base + 0.0125 * rng.standard_normal(64)], g % 3))
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert abs(np.mean(x[:-4] @ x[-1]) - common) < 0.05
+    found, true = recall(spark, rows)
+    print(f"mean cosine {common}: {found} of {true} links, recall {found / true:.3f}")
+    assert true > 400 and found >= 0.9 * true
+
+
+def test_layout():
+    assert E.layout(0, 0.06)[1] >= 1 and E.layout(10, 0.0) == (4, 1)
+    for n in (100, 10**5, 10**9):
+        for flipped in (0.01, 0.06, 0.2, 0.4):
+            width, tables = E.layout(n, flipped)
+            assert 1 <= tables <= E.TABLES and 1 - (1 - (1 - flipped) ** width) ** tables >= E.RECALL or width == 1
