@@ -3,10 +3,12 @@
 The small side is indexed: test items, cut into units, by BM25 impacts that are
 divided by the unit's own full score, so that one threshold suits all. Every
 passage of the corpus is a query. Term numbers rise with a term's largest
-impact; the low terms of a passage whose largest impacts together stay below a
-share of the threshold can't lift any unit over it alone, so only the postings
-of the other terms are opened (WAND's pivot), with maxima by block of units
-(block-max), and the low terms count with their largest impacts.
+impact. Where WAND moves sorted cursors to a pivot, many passages are looked at
+together here, on arrays: a passage's terms are added up from the lowest, and
+those below the pivot, whose largest impacts together stay under a share of the
+threshold, can't lift any unit over it alone. Only the postings of the terms
+from the pivot on are opened, with maxima by block of units (block-max), and the
+terms below it count with their largest impacts.
 The units of blocks that stay over the bound are scored exactly, and those over
 the threshold are compared with the passage by word shingles. All of it runs on
 arrays over many passages at once.
@@ -34,7 +36,7 @@ ANSWER = 0.5
 UNIT = 128  # words of a unit at most
 BLOCK = 2  # units of a block
 SHUT = 0.1  # of the threshold: what a passage's low terms may add up to, their postings being left shut
-ITEMS_AT_ONCE = 20_000  # in one broadcast index
+ITEMS_AT_ONCE, BYTES_AT_ONCE = 20_000, 1 << 25  # in one broadcast index: items, and bytes of their texts unless one has more
 WORDS_AT_ONCE = 400_000
 DENSE = 1 << 22  # (passage, unit) cells that are summed in an array of their own
 
@@ -52,22 +54,25 @@ def question_and_answer(text: str | None) -> tuple[list[bytes], list[bytes]]:
 
 
 class Index:
-    """BM25 index of items ``(id, text)``; those of fewer than SHINGLE words are left out, a chance match would do for them."""
+    """BM25 index of items ``(id, text)``; items and answers of fewer than SHINGLE words have one shingle, all their words in a row."""
 
     def __init__(self, items: Sequence[tuple[int, str | None]], threshold: float = THRESHOLD):
         self.threshold = threshold
-        self.items: list[tuple[int, int, int]] = []  # id, shingles of the question, of the answer
+        self.items: list[tuple[int, int, int, bool]] = []  # id, shingles of the question, of the answer, whether it is short
         self.shingles: dict[bytes, list[tuple[int, int]]] = defaultdict(list)  # -> (item, place of the shingle in it)
+        self.widths = {SHINGLE}  # words of the shingles
         units: list[tuple[int, Counter]] = []
         for item_id, text in items:
             question, answer = question_and_answer(text)
             words = question + answer
-            if len(words) < SHINGLE:
+            if not words:
                 continue
             number = len(self.items)
             # shingles across the border belong to the question
-            q, a = shingles_of(words)[: max(0, len(words) - SHINGLE + 1 - max(0, len(answer) - SHINGLE + 1))], shingles_of(answer) if len(answer) >= SHINGLE else []
-            self.items.append((item_id, len(q), len(a)))
+            a = shingles_of(answer)
+            q = shingles_of(words)[: max(1, len(words) - SHINGLE + 1) - max(0, len(answer) - SHINGLE + 1)]
+            self.items.append((item_id, len(q), len(a), len(words) < SHINGLE))
+            self.widths |= {len(x) for x in (words, answer) if 0 < len(x) < SHINGLE}
             for place, s in enumerate(q + a):
                 self.shingles[s].append((number, place))
             parts = -(-len(words) // UNIT)
@@ -168,8 +173,8 @@ class Index:
         good = score >= self.threshold - 1e-9
         return key[good] // self.units, key[good] % self.units, score[good]
 
-    def leaks(self, docs: list[list[bytes]]) -> list[tuple[int, int, float, float, float]]:
-        """(document, item id, score, share of the question's shingles, of the answer's) of the leaks in ``docs``."""
+    def leaks(self, docs: list[list[bytes]]) -> list[tuple[int, int, float, float, float, bool]]:
+        """(document, item id, score, share of the question's shingles, of the answer's, whether the item is short) of the leaks in ``docs``."""
         size, look = self.tile, self.term.get
         lengths = np.array([len(words) for words in docs])
         tiles = -(-lengths // size)  # two tiles in a row hold any unit whole
@@ -191,18 +196,18 @@ class Index:
             d = int(owner[p])
             at = (p - int(before[d])) * size
             words = docs[d][at : at + 2 * size]
-            for s in set(shingles_of(words)):
+            for s in {b" ".join(x) for n in self.widths for x in zip(*(words[i:] for i in range(n)))}:
                 for item, place in self.shingles.get(s, ()):
                     if item in over:
                         score, places = got.get((d, item), (0.0, set()))
                         got[d, item] = (max(score, over[item]), places | {place})
         out = []
         for (d, item), (score, places) in sorted(got.items()):
-            item_id, nq, na = self.items[item]
+            item_id, nq, na, short = self.items[item]
             q = sum(x < nq for x in places)
             a = len(places) - q
             if len(places) >= OVERLAP * (nq + na) and a >= ANSWER * na:
-                out.append((d, item_id, score, q / nq if nq else 1.0, a / na if na else 1.0))
+                out.append((d, item_id, score, q / nq if nq else 1.0, a / na if na else 1.0, short))
         return out
 
 
@@ -220,25 +225,28 @@ def _search(index):
                 if held >= WORDS_AT_ONCE or i == len(ids) - 1:
                     rows += [(ids[begin + d], start[begin + d], *rest) for d, *rest in found.leaks(docs)]
                     docs, begin, held = [], i + 1, 0
-            columns = zip(*rows) if rows else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-            names = ["id", "text_hash", "item_id", "score", "question_overlap", "answer_overlap"]
+            columns = zip(*rows) if rows else [[]] * 7
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
+            names = ["id", "text_hash", "item_id", "score", "question_overlap", "answer_overlap", "short"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return run
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
-    """(id, text_hash, item_id, score, question_overlap, answer_overlap): a row for each item that a row of ``docs`` holds.
+    """(id, text_hash, item_id, score, question_overlap, answer_overlap, short): a row for each item that a row of ``docs`` holds.
 
     An item is held if a unit of it scores THRESHOLD of its full BM25 score or
     more in some passage, OVERLAP of its word shingles stand in such passages,
-    and ANSWER of its answer's. The last of several lines is the answer. Null,
-    empty and very short items match nothing; null and empty texts hold
-    nothing. Equal items each give their row, as do repeated rows. Other
-    columns aren't read. No text is shuffled. The benchmark is the small side:
-    it is read to the driver and broadcast, ``items_at_once`` items an index,
-    in as many passes over the corpus as that takes.
+    and ANSWER of its answer's. The last of several lines is the answer. Items
+    and answers of fewer than SHINGLE words are held if all their words stand in
+    a row; ``short`` marks such items, which a document may hold by chance.
+    Null and empty items match nothing; null and empty texts hold nothing. Equal
+    items each give their row, as do repeated rows. Very long texts and items
+    are searched whole. Other columns aren't read. No text is shuffled. The
+    benchmark is the small side: it is read to the driver and broadcast,
+    ``items_at_once`` items an index (fewer if they are long), in as many passes
+    over the corpus as that takes.
     """
     items = benchmark.select(F.col(item_col).cast("long"), item_text).where(F.col(item_text).isNotNull()).orderBy(item_col, item_text)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("text_hash"))
@@ -246,17 +254,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     def search(part: list) -> DataFrame:
         index = docs.sparkSession.sparkContext.broadcast(Index(part))
-        return rows.mapInArrow(_search(index), "id long, text_hash long, item_id long, score double, question_overlap double, answer_overlap double")
+        return rows.mapInArrow(_search(index), "id long, text_hash long, item_id long, score double, question_overlap double, answer_overlap double, short boolean")
 
+    size = 0
     for item in items.toLocalIterator():
         held.append(tuple(item))
-        if len(held) == items_at_once:
-            out, held = search(held) if out is None else out.union(search(held)), []
+        size += len(item[1])
+        if len(held) == items_at_once or size >= BYTES_AT_ONCE:
+            out, held, size = search(held) if out is None else out.union(search(held)), [], 0
     return search(held) if out is None else out.union(search(held)) if held else out
 
 
 def op7_decontaminate_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap of the benchmark items in all documents."""
+    """doc_id, item_id, score, question_overlap, answer_overlap, short of the benchmark items in all documents."""
     found = leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash").withColumnRenamed("id", "doc_id")
 

@@ -14,10 +14,16 @@ def brute(docs, items):
     for d, text in docs:
         have = set(D.shingles_of(words_of(text)))
         for i, item in items:
-            words = words_of(item)
+            question, answer = D.question_and_answer(item)
+            words = question + answer
+            held = lambda x: f" {b' '.join(x).decode()} " in f" {b' '.join(words_of(text)).decode()} "
             if len(words) < 5:
+                if words and held(words) and (not answer or held(answer)):
+                    out.add((d, i))
                 continue
             all_of = D.shingles_of(words)
+            if 0 < len(answer) < 5 and not held(answer):
+                continue
             if sum(s in have for s in all_of) >= 0.8 * len(all_of):
                 out.add((d, i))
     return out
@@ -87,12 +93,30 @@ def test_answers_count(spark):
     assert [r.id for r in got] == [1] and got[0].question_overlap == got[0].answer_overlap == 1.0
 
 
+def test_short_answers_count(spark):
+    question = " ".join(f"q{i}" for i in range(20))
+    items = [(1, f"{question}\nforty two"), (2, f"{question}\nyes"), (3, "who was it\nme")]
+    docs = [(1, f"{question} forty two"), (2, f"{question} forty and two"), (3, f"so {question} yes"), (4, "Who was it? Me!"), (5, "who was it you"), (6, f"{question} and nothing")]
+    got = run(spark, docs, items)
+    assert {(r.id, r.item_id) for r in got} == {(1, 1), (3, 2), (4, 3)} and all(r.answer_overlap == 1.0 for r in got)
+    assert {r.item_id for r in got if r.short} == {3}
+
+
+def test_very_long_texts_and_items(spark):
+    rng = np.random.default_rng(6)
+    words = [f"v{i}" for i in rng.integers(0, 5000, 60_000)]
+    item = " ".join(words[20_000:24_000])
+    got = run(spark, [(1, " ".join(words)), (2, " ".join(words[:20_000]))], [(1, item), (2, "not in it at all by any means")])
+    assert [(r.id, r.item_id, r.question_overlap) for r in got] == [(1, 1, 1.0)]
+
+
 def test_nulls_short_items_repeats_empty(spark):
     text = "alpha beta gamma delta epsilon zeta eta theta"
     items = [(1, text), (2, text), (3, None), (4, ""), (5, "alpha beta"), (None, text)]
     docs = [(1, text), (1, text), (None, text), (2, None), (3, "")]
     got = sorted((str(r.id), str(r.item_id)) for r in run(spark, docs, items))
-    assert got == sorted((d, i) for d in ("1", "1", "None") for i in ("1", "2", "None"))
+    assert got == sorted((d, i) for d in ("1", "1", "None") for i in ("1", "2", "5", "None"))
+    assert {r.item_id for r in run(spark, docs, items) if r.short} == {5}
     assert run(spark, [], items) == [] and run(spark, docs, []) == []
 
 
