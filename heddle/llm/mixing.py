@@ -25,7 +25,7 @@ SHARE, MOST = 1.5, 2
 WEIGHTS = (5, 2, 1)
 SEED = 20240601
 BROADCAST = 50_000  # rows, of a few dozen bytes each
-BITS = 10  # of the order's hash, for each of two levels of cells
+BITS = 10  # of the order's digest, for each of two levels of cells
 
 
 def word_count(text: Column) -> Column:
@@ -125,6 +125,11 @@ def weighted_quotas(sizes: dict, weights: Sequence[float] = WEIGHTS) -> dict[obj
     return dict(zip(names, source_targets([sizes[s] for s in names], [weights[i % len(weights)] for i in range(len(names))])))
 
 
+def _pattern(sources: Column) -> Column:
+    """A set of sources as text."""
+    return F.coalesce(F.to_json(F.array_sort(sources), {"ignoreNullFields": "false"}), F.lit("[]"))
+
+
 def mix(
     docs: DataFrame,
     sources: Column,
@@ -143,8 +148,9 @@ def mix(
     First result: (id, text_hash, pattern, size, taken), a row for each row of
     ``docs``; taken is in words, repeats counted, at most ``rounds`` x size; the
     document at a pattern's cut gives only the words still wanted. Ties and
-    repeated rows: rows of equal id and text are interchangeable. Null texts
-    have size 0. Second: (source, pattern_of_one, source_size, target, taken).
+    repeated rows: rows of equal id and text are interchangeable; at the cut
+    they share what is wanted, rounded down. Null and empty texts have size 0,
+    very long ones count whole. Other columns aren't read. Second: (source, pattern_of_one, source_size, target, taken).
 
     What reaches the driver is a row for each distinct set of sources. Up to
     BROADCAST of them, tables of a row a set are broadcast; beyond, joined.
@@ -153,12 +159,13 @@ def mix(
     base = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.xxhash64(text).alias("text_hash"),
-        F.coalesce(F.to_json(F.array_sort(sources), {"ignoreNullFields": "false"}), F.lit("[]")).alias("pattern"),
+        _pattern(sources).alias("pattern"),
         word_count(text).alias("size"),
-    ).withColumn("h", F.xxhash64(F.lit(seed), "id", "text_hash"))
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("long"), text)).alias("h"),
+    )
     base = stored(base, "sizes")
-    cells = (F.shiftrightunsigned("h", 64 - BITS), F.shiftrightunsigned("h", 64 - 2 * BITS).bitwiseAND((1 << BITS) - 1))
-    base = base.withColumns({"c1": cells[0].cast("int"), "c2": cells[1].cast("int")})
+    cell = F.conv(F.substring("h", 1, 2 * BITS // 4), 16, 10).cast("int")
+    base = base.withColumns({"c1": F.shiftright(cell, BITS), "c2": cell.bitwiseAND((1 << BITS) - 1)})
 
     totals = sorted((r.pattern, int(r.n)) for r in base.groupBy("pattern").agg(F.sum("size").alias("n")).collect())
     patterns = [(json.loads(p), n) for p, n in totals]
@@ -177,9 +184,9 @@ def mix(
         [(p, *divmod(sum(f.values()), n)) if n else (p, 0, 0) for (p, n), f in zip(totals, routed)], "p string, full long, rest long"
     )
     table = spark.createDataFrame(
-        [(s, json.dumps([s], ensure_ascii=False, separators=(",", ":")), n, float(wanted[s]), given[s]) for s, n in sizes.items()],
-        "source string, pattern_of_one string, source_size long, target double, taken long",
-    )
+        [(s, n, float(wanted[s]), given[s]) for s, n in sizes.items()],
+        "source string, source_size long, target double, taken long",
+    ).select("source", _pattern(F.array("source")).alias("pattern_of_one"), "source_size", "target", "taken")
 
     by_pattern = Window.partitionBy("pattern")
     before = by_pattern.rowsBetween(Window.unboundedPreceding, -1)
@@ -199,8 +206,12 @@ def mix(
     at_cut = (F.col("c1") == F.col("c1_cut")) & (F.col("c2") == F.col("c2_cut"))
     early = (F.col("c1") < F.col("c1_cut")) | ((F.col("c1") == F.col("c1_cut")) & (F.col("c2") < F.col("c2_cut")))
     whole = rows.where(~F.coalesce(at_cut, F.lit(False))).withColumn("extra", F.when(early, F.col("size")).otherwise(0))
-    fine = F.coalesce(F.sum("size").over(before.orderBy(F.shiftrightunsigned("h", 1), "h", "id", "text_hash", "size")), F.lit(0))
-    part = rows.where(at_cut).withColumn("extra", F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("begun") - fine)))
+    # rows of equal id and text, of which there may be many, are one row here and share what they give
+    at = rows.where(at_cut)
+    equal = at.groupBy("pattern", "h", "size", "rest", "begun").agg(F.count(F.lit(1)).alias("k"))
+    room = F.col("rest") - F.col("begun") - F.coalesce(F.sum(F.col("k") * F.col("size")).over(before.orderBy("h", "size")), F.lit(0))
+    equal = equal.select(F.col("pattern").alias("of_pattern"), F.col("h").alias("of"), F.col("size").alias("n"), F.floor(F.greatest(F.lit(0), F.least(F.col("k") * F.col("size"), room)) / F.col("k")).alias("extra"))
+    part = at.join(equal, (F.col("pattern") == F.col("of_pattern")) & (F.col("h") == F.col("of")) & (F.col("size") == F.col("n")))
     cols = ["id", "text_hash", "pattern", "size", (F.col("full") * F.col("size") + F.col("extra")).alias("taken")]
     return whole.select(*cols).union(part.select(*cols)), table
 
@@ -213,4 +224,32 @@ def op2_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_mixing_flow": op2_mixing_flow}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_mixing_flow": f"""
+WITH docs AS (
+  SELECT doc_id, source, md5(concat_ws(':', '{SEED}', doc_id, text)) AS h,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS n,
+         CASE row_number() OVER (ORDER BY source NULLS LAST) % 3 WHEN 1 THEN {WEIGHTS[0]} WHEN 2 THEN {WEIGHTS[1]} ELSE {WEIGHTS[2]} END AS w
+  FROM docs GROUP BY source),
+filled AS (  -- the more a source's limit exceeds its weight, the later it is reached
+  SELECT *, {MOST} * n / w AS reached,
+         ({SHARE} * sum(n) OVER () - coalesce(sum({MOST} * n) OVER earlier, 0)) / sum(w) OVER later AS rate
+  FROM sources WHERE n > 0
+  WINDOW earlier AS (ORDER BY {MOST} * n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         later AS (ORDER BY {MOST} * n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+rated AS (SELECT coalesce((SELECT rate FROM filled WHERE rate <= reached ORDER BY reached, source LIMIT 1), 0) AS rate),
+targets AS (
+  SELECT source, n, CASE WHEN n = 0 THEN 0.0 ELSE CAST(least({MOST} * n, w * rate) AS DOUBLE) END AS target FROM sources, rated),
+planned AS (SELECT *, CAST(round_even(target, 0) AS BIGINT) AS wanted FROM targets),
+equal AS (
+  SELECT source, h, size, count(*) AS k FROM docs GROUP BY ALL),
+ordered AS (
+  SELECT *, coalesce(sum(k * size) OVER (PARTITION BY source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM equal)
+SELECT doc_id, docs.size, n AS source_size, target, docs.source,
+       CASE WHEN n = 0 THEN 0 ELSE CAST(wanted // n * docs.size + greatest(0, least(k * docs.size, wanted % n - before)) // k AS BIGINT) END AS taken
+FROM docs JOIN planned ON docs.source IS NOT DISTINCT FROM planned.source
+JOIN ordered o ON o.h = docs.h AND o.size = docs.size AND o.source IS NOT DISTINCT FROM docs.source
+"""
+}
