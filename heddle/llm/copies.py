@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heddle.llm.lines import ANY, BINS, COMPARED, COMPARED_KINDS, bands, linked, minima
-from heddle.llm.shared import stored
+from heddle.llm.shared import drop, stored
 
 WIDTH = 5
 SIMILAR = 0.8
@@ -70,7 +70,8 @@ def _sketched(width: int):
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, least: float = SIMILAR) -> DataFrame:
-    """(id, text_hash, component): one row for each row of ``docs``; component is the smallest id reachable.
+    """(id, text_hash, fp, component): one row for each row of ``docs``; fp is the SimHash
+    of its shingles, component the smallest id reachable.
 
     Texts link if the Jaccard similarity of their shingles of ``width`` words
     (lower case) is ``least`` (0.8 or more) or more; texts without words, null
@@ -88,6 +89,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     roots = linked(seen.where("chars > 0"), texts, lambda a, b, s: jaccard(a, b, s, width), least, RADIUS)
     group = F.when(F.col("chars") > 0, F.coalesce("root", "digest"))  # null: without words
-    named = stored(seen.select("id", "digest", "chars").join(roots, F.col("digest") == F.col("node"), "left").select("id", F.col("digest").alias("text_hash"), group.alias("group")), "named")
+    named = stored(seen.select("id", "digest", "chars", "sim").join(roots, F.col("digest") == F.col("node"), "left").select("id", F.col("digest").alias("text_hash"), F.col("sim").alias("fp"), group.alias("group")), "named")
+    drop(seen, roots)
     low = stored(named.groupBy("group").agg(F.min("id").alias("component")).select(F.col("group").alias("of"), "component"), "low")
-    return named.join(low, F.col("group").eqNullSafe(F.col("of")), "left").select("id", "text_hash", "component")
+    return named.join(low, F.col("group").eqNullSafe(F.col("of")), "left").select("id", "text_hash", "fp", "component")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heddle.llm.components import components, local_roots
-from heddle.llm.shared import stored
+from heddle.llm.shared import drop, stored
 from heddle.sources import read_table
 
 COSINE = 0.98
@@ -271,9 +271,9 @@ def near_vectors(
     dealt = cut.select("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, "place", "key", "code")
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(shuffled, *DEALT).sortWithinPartitions(*DEALT)
-    near = stored(dealt.mapInArrow(_whole(_candidates(radius), 16_384), dealt.schema), "near")
+    near_rows = stored(dealt.mapInArrow(_whole(_candidates(radius), 16_384), dealt.schema), "near")
     whole = distinct.select("key", "vec", "weight", F.xxhash64(F.lit(1), "label").alias("same"), F.size("vec").alias("dim"))
-    near = near.join(whole, "key").join(coded.select("key", "parts"), "key").repartition(shuffled, *DEALT).sortWithinPartitions(*DEALT)
+    near = near_rows.join(whole, "key").join(coded.select("key", "parts"), "key").repartition(shuffled, *DEALT).sortWithinPartitions(*DEALT)
     links = stored(near.mapInArrow(_whole(_linked(cosine, radius), 4096), "a long, b long, n long"), "links")
 
     roots = stored(components(links.select("a", "b")), "roots")
@@ -282,6 +282,7 @@ def near_vectors(
     named = stored(named.select("label", "vec", "first", F.coalesce("root", "key").alias("root"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n")), "named")
     low = stored(named.groupBy("root").agg(F.min("first").alias("component")), "low")
     classes = stored(named.join(low, "root").select(F.col("label").alias("of_label"), F.col("vec").alias("of_vec"), "n", "component"), "classes")
+    drop(distinct, coded, large, near_rows, links, roots, counts, named, low)
     found = rows.where("valid").join(classes, (F.col("label") == F.col("of_label")) & (F.col("vec") == F.col("of_vec")), "left")
     alone = rows.where("not valid").select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("component"))
     out = found.select("id", "n", "component").union(alone)

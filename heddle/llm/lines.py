@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heddle.llm.components import components
-from heddle.llm.shared import stored, unused
+from heddle.llm.shared import drop, stored, unused
 from heddle.sources import read_table
 
 BINS = 32  # of a sketch
@@ -561,7 +561,9 @@ def linked(seen: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Call
     held = seen.where("keys is not null").join(rest.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("keys").alias("keys"))
     again = rest.join(held, "digest").join(fetched, F.col("digest") == F.col("of")).drop("of").repartition(parts, *DEALT).sortWithinPartitions(*DEALT)
     more = stored(again.mapInArrow(_whole_shards(_verified(least, radius, alike), 4_000), "a long, b long"), "links")
-    return stored(components(stars.union(more)), "roots")
+    roots = stored(components(stars.union(more)), "roots")
+    drop(near, first, fetched, stars, labels, rest, more)
+    return roots
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = None, least: float = SIMILAR, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
@@ -595,7 +597,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = stored(first.select(F.col("group").alias("of"), "first"), "first")
     gone = grouped.join(first, F.col("group") == F.col("of")).where(place != F.col("first"))
-    return stored(gone.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("lines")), "gone")
+    gone = stored(gone.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("lines")), "gone")
+    drop(seen, roots, grouped, first)
+    return gone
 
 
 def without_lines(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +12,13 @@ LOCAL_DEFAULT = "file:///tmp/checkpoints/heddle"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir. Where it is unset, a local session gets LOCAL_DEFAULT and a cluster an error."""
+    """The session's spark.checkpoint.dir. Where it is unset, a local session gets LOCAL_DEFAULT, emptied when the driver ends, and a cluster an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    atexit.register(shutil.rmtree, f"{LOCAL_DEFAULT.removeprefix('file://')}/heddle/{spark.sparkContext.applicationId}", ignore_errors=True)
     return LOCAL_DEFAULT
 
 

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.llm.components import components, local_roots
-from heddle.llm.shared import stored
+from heddle.llm.copies import near_copies
+from heddle.llm.shared import drop, stored
 from heddle.sources import read_table
 
 SEED = 42
@@ -193,20 +194,27 @@ def near_links(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> Data
     return dealt.mapInArrow(lambda batches: _links(batches, radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, radius: int = RADIUS, piece: int = PIECE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, radius: int = RADIUS, piece: int = PIECE, similarity: float | None = None) -> DataFrame:
     """(id, text_hash, fp, component): one row for each row of ``docs``; component is the smallest id reachable.
 
+    Texts link if their fingerprints differ in ``radius`` bits at most or, with
+    a ``similarity`` (0.8 or more), if the Jaccard similarity of their shingles
+    is that or more; see near_copies() for what differs then.
+
     Null and empty texts have fingerprint 0 and link like others. Rows with a
-    null id keep their row; ids that are null don't stand for a component, and
+    null id keep their row, very long texts are read whole; ids that are null don't stand for a component, and
     one of null ids only has a null component. Repeated rows repeat. Other
     columns of ``docs`` aren't read. An empty table gives no rows.
     """
+    if similarity is not None:
+        return near_copies(docs, id_col, text_col, width, similarity)
     seen = stored(fingerprints(docs, id_col, text_col, width), "fingerprints")
     nodes = stored(seen.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
     roots = stored(components(near_links(nodes.select("fp"), radius, piece)), "roots")
     named = stored(nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "named")
     low = stored(named.groupBy("root").agg(F.min("first").alias("component")), "low")
     classes = stored(named.join(low, "root").select(F.col("fp").alias("of"), "component"), "classes")
+    drop(nodes, roots, named, low)
     return seen.join(classes, F.col("fp") == F.col("of"), "left").select("id", "text_hash", "fp", "component")
 
 
