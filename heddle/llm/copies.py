@@ -63,7 +63,7 @@ def _sketched(width: int):
             ends = np.concatenate([[0], np.cumsum(has)]).astype(np.int32) * KEYS
             keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands(sketch[has], KEYS, ANY).ravel().view(np.int64)))
             none = pa.array(np.zeros(len(batch), np.int64))
-            compared = [pa.array(size, pa.int32()), none, none, none, none, pa.array(np.array(sim, np.uint64).view(np.int64))]
+            compared = [pa.array(size, pa.int32()), *[none] * (len(COMPARED) - 2), pa.array(np.array(sim, np.uint64).view(np.int64))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys, *compared], ["id", "digest", "keys", *COMPARED])
 
     return run
@@ -87,7 +87,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def texts(digests: DataFrame) -> DataFrame:
         return docs.select(F.xxhash64(text).alias("digest"), text.alias("t")).join(digests, "digest", "left_semi")
 
-    roots = linked(seen.where("chars > 0"), texts, lambda a, b, s: jaccard(a, b, s, width), least, RADIUS)
+    roots = linked(seen.where("chars > 0"), texts, lambda a, b, s: [jaccard(x, y, s, width) for x, y in zip(a, b)], least, RADIUS)
     group = F.when(F.col("chars") > 0, F.coalesce("root", "digest"))  # null: without words
     named = stored(seen.select("id", "digest", "chars", "sim").join(roots, F.col("digest") == F.col("node"), "left").select("id", F.col("digest").alias("text_hash"), F.col("sim").alias("fp"), group.alias("group")), "named")
     drop(seen, roots)

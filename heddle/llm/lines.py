@@ -35,9 +35,9 @@ SHORT, SHORT_GRAM = range(8, 41), 6  # a key for every second bin
 MIDDLE = range(32, 76)  # SHORT_GRAM too; a key for two bins that stand apart
 LONG, LONG_GRAM, LONG_KEYS = range(60, 1 << 62), 12, 10  # as MIDDLE, so many keys
 #: How a key's pairs are compared, in its lowest bits: not at all; by bitmaps of the lines' bigrams, of which an edit
-#: changes two; or by AGREE equal bins at least, of 4 bits each (those that differ agree once in 16 by chance).
-ANY, SHORT_KIND, LONG_KIND = 0, 1, 2
-AGREE = 10
+#: changes two; or by so many equal bins at least, of 4 bits each (those that differ agree once in 16 by chance).
+ANY, SHORT_KIND, LONG_KIND, MIDDLE_KIND = 0, 1, 2, 3
+AGREE = {LONG_KIND: 10, MIDDLE_KIND: 8}
 SIMILAR = 0.8  # 1 - edits / length of the longer line
 MIN_WORDS = 1
 PIECE = 512
@@ -45,6 +45,7 @@ BITMAP, BITMAP_MOST = 1 << 24, 1 << 28  # bits, 16 for each line that is asked f
 PAIRS = 1 << 18  # looked at together
 WORDS_AT_ONCE = 100_000
 CHARS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE, WORDS_IN_STEP, FEW = 4096, 24_000, 32  # pairs that are verified together
 BROADCAST = 1 << 20  # rows of a number or two; more of them are joined
 
 
@@ -175,15 +176,15 @@ def bigrams(lines: list[str]) -> np.ndarray:
     begins = np.cumsum(n) - n
     bit = np.uint64(1) << (h & np.uint64(63))
     bit[begins + n - 1] = 0  # it crosses into the next line
-    high = (h >> np.uint64(6) & np.uint64(1)).astype(bool)
-    return np.stack([np.bitwise_or.reduceat(np.where(high == half, bit, np.uint64(0)), begins) for half in (False, True)], axis=1)
+    word = h >> np.uint64(6) & np.uint64(1)
+    return np.stack([np.bitwise_or.reduceat(np.where(word == np.uint64(k), bit, np.uint64(0)), begins) for k in range(2)], axis=1)
 
 
-def keys_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(line, key) of each key in order of lines, the short lines' bigrams, and nibbles of the long ones' sketches (0 where a line has none)."""
+def keys_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key) of each key in order of lines, and the numbers that keys of a kind are compared by (lines x kinds x 2): bigrams or a sketch's nibbles, 0 where a line has none."""
     length = np.array([len(x) for x in lines])
     at, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-    short, long = np.zeros((2, len(lines), 2), np.uint64)
+    maps = np.zeros((len(lines), 4, 2), np.uint64)
 
     def add(own: np.ndarray, values: np.ndarray) -> None:
         at.append(np.repeat(own, values.shape[1]))
@@ -200,19 +201,20 @@ def keys_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     own = among(range(SHORT.start, MIDDLE.stop), np.arange(len(lines)))
     if len(own):
         sketch = sketches([lines[n] for n in own.tolist()], SHORT_GRAM)
-        short[own] = bigrams([lines[n] for n in own.tolist()])
+        maps[own, SHORT_KIND] = bigrams([lines[n] for n in own.tolist()])
+        maps[own, MIDDLE_KIND] = nibbles(sketch)
         k = among(SHORT, own)
         add(own[k], _numbered(sketch[k][:, ::2], SHORT_KIND))
         k = among(MIDDLE, own)
-        add(own[k], bands(sketch[k], BINS // 2, SHORT_KIND))
+        add(own[k], bands(sketch[k], BINS // 2, MIDDLE_KIND))
     own = among(LONG, np.arange(len(lines)))
     if len(own):
         sketch = sketches([lines[n] for n in own.tolist()], LONG_GRAM)
-        long[own] = nibbles(sketch)
+        maps[own, LONG_KIND] = nibbles(sketch)
         add(own, bands(sketch, LONG_KEYS, LONG_KIND))
     line, key = np.concatenate(at), np.concatenate(keys)
     order = np.argsort(line, kind="stable")
-    return line[order], key[order], short, long
+    return line[order], key[order], maps
 
 
 def nibbles(sketch: np.ndarray) -> np.ndarray:
@@ -280,13 +282,96 @@ def aligned(x: list[str], y: list[str], most: int, ahead: int = 4) -> bool:
     return cost + sum(len(w) + 1 for w in (*x[i:], *y[j:])) <= most
 
 
+def edit_distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Levenshtein distances of a[k] and b[k], all in step: Myers' bit vectors, 64 characters of a[k] a word, with carries between the words.
+
+    Takes 8 bytes for each pair, word and letter; strings of like lengths waste the least.
+    """
+    n, m = (np.array([len(x) for x in s]) for s in (a, b))
+    out, score = np.where(n == 0, m, n), n.copy()
+    words = -(-int(n.max(initial=0)) // 64)
+    if not words or not m.any():
+        return out
+    letters, code = np.unique(np.frombuffer("".join(a + b).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+    first, second = code[: n.sum()], code[n.sum() :]
+    row = np.repeat(np.arange(len(a)), n)
+    place = np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
+    equal = np.zeros((words, len(a) * len(letters)), np.uint64)
+    np.bitwise_or.at(equal.reshape(-1), (place // 64 * len(a) + row) * len(letters) + first, np.uint64(1) << (place % 64).astype(np.uint64))
+    longest = int(m.max())
+    text = np.zeros((longest, len(a)), np.int64)  # a column's letter of each pair; pairs that have ended go on with any
+    text[np.arange(len(second)) - np.repeat(np.cumsum(m) - m, m), np.repeat(np.arange(len(b)), m)] = second
+    text += np.arange(len(a)) * len(letters)
+    order = np.argsort(m, kind="stable")
+    cut = np.searchsorted(m[order], np.arange(1, longest + 2))
+    ends = [order[cut[j] : cut[j + 1]] for j in range(longest)]
+    one, top, full = np.uint64(1), np.uint64(63), np.uint64(2**64 - 1)
+    up, down = np.full((words, len(a)), full), np.zeros((words, len(a)), np.uint64)
+    last = [np.where(np.maximum(n - 1, 0) // 64 == w, one << (np.maximum(n - 1, 0) % 64).astype(np.uint64), np.uint64(0)) for w in range(words)]
+    counts = [bool(x.any()) for x in last]
+    for j in range(longest):
+        plus, minus = np.ones(len(a), np.uint64), np.zeros(len(a), np.uint64)
+        for w in range(words):
+            u, d = up[w], down[w]
+            eq = equal[w].take(text[j])
+            vertical = eq | d
+            eq |= minus
+            p = eq & u
+            p += u
+            p ^= u
+            p |= eq
+            q = u & p
+            p |= u
+            np.invert(p, out=p)
+            p |= d
+            if counts[w]:
+                score += (p & last[w]) != 0
+                score -= (q & last[w]) != 0
+            carry = p >> top, q >> top
+            p <<= one
+            p |= plus
+            q <<= one
+            q |= minus
+            plus, minus = carry
+            np.bitwise_and(p, vertical, out=d)
+            vertical |= p
+            np.invert(vertical, out=vertical)
+            np.bitwise_or(vertical, q, out=u)
+        if len(ends[j]):
+            out[ends[j]] = np.where(n[ends[j]] == 0, m[ends[j]], score[ends[j]])
+    return out
+
+
 def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
     return aligned(a.split(" "), b.split(" "), most) or edit_distance(a, b, most) <= most
 
 
-COMPARED = ["chars", "short_low", "short_high", "long_low", "long_high", "sim"]
-COMPARED_KINDS = "chars int, short_low long, short_high long, long_low long, long_high long, sim long"
+def similar_lines(a: list[str], b: list[str], least: float = SIMILAR) -> np.ndarray:
+    """Whether a[k] and b[k] have an edit similarity of ``least`` or more."""
+    most = np.array([int((1 - least) * max(len(x), len(y)) + 1e-9) for x, y in zip(a, b)], np.int64)
+    good = np.array([aligned(x.split(" "), y.split(" "), z) for x, y, z in zip(a, b, most.tolist())], bool)
+    size = np.array([min(len(x), len(y)) for x, y in zip(a, b)])
+    rest = np.flatnonzero(~good)
+    rest = rest[np.argsort(size[rest], kind="stable")]
+    start = 0
+    while start < len(rest):
+        stop = start + 1
+        while stop < len(rest) and (stop + 1 - start) * (size[rest[stop]] // 64 + 1) <= WORDS_IN_STEP:
+            stop += 1
+        own = rest[start:stop].tolist()
+        if len(own) < FEW:  # of long strings: numbers of any length do as well
+            good[own] = [edit_distance(a[k], b[k], int(most[k])) <= most[k] for k in own]
+        else:
+            swap = [(a[k], b[k]) if len(a[k]) <= len(b[k]) else (b[k], a[k]) for k in own]
+            good[own] = edit_distances([x for x, _ in swap], [y for _, y in swap]) <= most[own]
+        start = stop
+    return good
+
+
+MAPS = ["low", "high"]
+COMPARED = ["chars", *(f"{m}_{k}" for k in (SHORT_KIND, LONG_KIND, MIDDLE_KIND) for m in MAPS), "sim"]
+COMPARED_KINDS = "chars int, " + ", ".join(f"{c} long" for c in COMPARED[1:])
 
 
 def _lines(min_words: int, radius: int | None):
@@ -315,7 +400,7 @@ def _lines(min_words: int, radius: int | None):
                 # what a line is compared by stands at its first occurrence of those looked at together
                 _, once = np.unique(digest, return_index=True)
                 own = [lines[k] for k in once.tolist()]
-                line, keys, short, long = keys_of(own)
+                line, keys, maps = keys_of(own)
                 sim = np.zeros(len(own), np.uint64) if radius is None else simhashes(own)
                 raw = np.array([line_digest(raws[k]) for k in once.tolist()], np.uint64)
                 place = np.full(len(lines), -1)
@@ -323,7 +408,7 @@ def _lines(min_words: int, radius: int | None):
                 at = pa.array(place, mask=place < 0)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(own)))]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))
-                compared = [np.ascontiguousarray(x).view(np.int64) for x in (short[:, 0], short[:, 1], long[:, 0], long[:, 1], sim, raw)]
+                compared = [np.ascontiguousarray(x).view(np.int64) for x in (*maps[:, 1:].reshape(-1, 6).T, sim, raw)]
                 chars = pa.array(np.array([len(x) for x in own], np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(digest.view(np.int64)), listed.take(at), chars.take(at), *(pa.array(x).take(at) for x in compared)],
@@ -334,7 +419,7 @@ def _lines(min_words: int, radius: int | None):
 
 
 def shards(seen: DataFrame, piece: int = PIECE) -> DataFrame:
-    """Lines dealt by the keys that several lines have: (key, one, two, role, digest, chars, low, high, sim).
+    """Lines dealt by the keys that several lines have: (key, one, two, role, digest, chars, MAPS, sim).
 
     A key of over ``piece`` lines has its lines cut into pieces, and a row for
     each pair (one, two) of pieces that the line's own is part of. role: 0 is
@@ -342,7 +427,7 @@ def shards(seen: DataFrame, piece: int = PIECE) -> DataFrame:
     """
     first = seen.where("keys is not null")
     keys = first.select("digest", F.explode("keys").alias("key"))
-    several = keys.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("key")
+    several = keys.groupBy("key").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least < most").select("key")
     several = stored(several, "shared_keys")
     # under the bound no line's keys are shuffled a second time
     rows = stored(keys.join(F.broadcast(several) if several.count() <= BROADCAST else several, "key").distinct(), "dealt")
@@ -353,9 +438,9 @@ def shards(seen: DataFrame, piece: int = PIECE) -> DataFrame:
     cut = cut.join(compared, "digest").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("pieces")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     role = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("role")
-    by_long = F.col("key").bitwiseAND(3) == LONG_KIND
-    sketch = [F.when(by_long, F.col(f"long_{x}")).otherwise(F.col(f"short_{x}")).alias(x) for x in ("low", "high")]
-    return cut.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, "digest", "chars", *sketch, "sim")
+    kind = F.col("key").bitwiseAND(3)
+    maps = [F.when(kind == SHORT_KIND, F.col(f"{m}_{SHORT_KIND}")).when(kind == LONG_KIND, F.col(f"{m}_{LONG_KIND}")).otherwise(F.col(f"{m}_{MIDDLE_KIND}")).alias(m) for m in MAPS]
+    return cut.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), role, "digest", "chars", *maps, "sim")
 
 
 DEALT = ["key", "one", "two"]
@@ -369,15 +454,16 @@ def _groups(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(fresh))
 
 
-def comparable(kind: np.ndarray, halves: list[tuple[np.ndarray, np.ndarray]], edits: np.ndarray) -> np.ndarray:
-    """Whether pairs under keys of these kinds may differ in so many edits: certain for short lines, likely for long ones."""
+def comparable(kind: np.ndarray, maps: list[tuple[np.ndarray, np.ndarray]], edits: np.ndarray) -> np.ndarray:
+    """Whether pairs under keys of these kinds may differ in so many edits: certain for short lines, likely for others."""
     ok = np.ones(len(kind), bool)
     k = np.flatnonzero(kind == SHORT_KIND)
-    own = [(x[k], y[k]) for x, y in halves]
+    own = [(x[k], y[k]) for x, y in maps]
     for flip in (False, True):
         ok[k] &= sum(np.bitwise_count((y & ~x) if flip else (x & ~y)).astype(np.int64) for x, y in own) <= 2 * edits[k]
-    k = np.flatnonzero(kind == LONG_KIND)
-    ok[k] = sum(agreeing(x[k], y[k]) for x, y in halves) >= AGREE
+    for own_kind, least in AGREE.items():
+        k = np.flatnonzero(kind == own_kind)
+        ok[k] = sum(agreeing(x[k], y[k]) for x, y in maps) >= least
     return ok
 
 
@@ -399,7 +485,7 @@ def _pairs(table: dict[str, np.ndarray], least: float, radius: int | None) -> It
         x, y = table["chars"][a], table["chars"][b]
         near &= np.abs(x - y) <= (1 - least) * np.maximum(x, y) + 1e-9
         a, b = a[near], b[near]
-        near = comparable(table["key"][a] & 3, [(table[k][a], table[k][b]) for k in ("low", "high")], ((1 - least) * np.maximum(x, y)[near] + 1e-9).astype(np.int64))
+        near = comparable(table["key"][a] & 3, [(table[k][a], table[k][b]) for k in MAPS], ((1 - least) * np.maximum(x, y)[near] + 1e-9).astype(np.int64))
         if radius is not None:
             near &= np.bitwise_count(table["sim"][a] ^ table["sim"][b]) <= radius
         yield a[near], b[near]
@@ -430,7 +516,7 @@ def _whole_shards(work, at_once: int):
 
 def _numeric(rows: pa.Table) -> dict[str, np.ndarray]:
     table = {k: rows.column(k).to_numpy() for k in (*DEALT, "role", "chars")}
-    return table | {k: rows.column(k).to_numpy().view(np.uint64) for k in ("low", "high", "sim")}
+    return table | {k: rows.column(k).to_numpy().view(np.uint64) for k in (*MAPS, "sim")}
 
 
 def _neighbours(least: float, radius: int | None):
@@ -452,8 +538,10 @@ def _neighbours(least: float, radius: int | None):
 def _similar_rows(least: float, alike: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [alike(x.as_py(), y.as_py(), least) for x, y in zip(batch.column("ta"), batch.column("tb"))]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for start in range(0, len(batch), PAIRS_AT_ONCE):
+                part = batch.slice(start, PAIRS_AT_ONCE)
+                good = alike(part.column("ta").to_pylist(), part.column("tb").to_pylist(), least)
+                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
@@ -485,14 +573,27 @@ def _verified(least: float, radius: int | None, alike: Callable):
                 parent[i] = i = parent[parent[i]]
             return i
 
-        found = []
-        for a, b in _pairs(table, least, radius):
-            other = label[a] != label[b]
-            for i, j in zip(a[other].tolist(), b[other].tolist()):
+        found, held = [], []
+
+        def verify() -> None:
+            # labels may have met since the pairs were held
+            pairs = [(i, j) for i, j in held if root(int(label[i])) != root(int(label[j]))]
+            held.clear()
+            for (i, j), good in zip(pairs, alike([text[i].as_py() for i, _ in pairs], [text[j].as_py() for _, j in pairs], least)):
                 x, y = root(int(label[i])), root(int(label[j]))
-                if x != y and table["key"][i] == min(keys[i] & keys[j]) and alike(text[i].as_py(), text[j].as_py(), least):
+                if good and x != y:
                     parent[max(x, y)] = min(x, y)
                     found.append((digest[i], digest[j]))
+
+        for a, b in _pairs(table, least, radius):
+            other = label[a] != label[b]
+            for i, j in zip(a[other].tolist(), b[other].tolist()):
+                if root(int(label[i])) != root(int(label[j])) and table["key"][i] == min(keys[i] & keys[j]):
+                    held.append((i, j))
+                    if len(held) == PAIRS_AT_ONCE:
+                        verify()
+        if held:
+            verify()
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return work
@@ -538,7 +639,7 @@ def _bitmap(digests: DataFrame, size: int = BITMAP) -> bytes:
 
 
 def linked(seen: DataFrame, texts: Callable[[DataFrame], DataFrame], alike: Callable, least: float, radius: int | None = None, piece: int = PIECE) -> DataFrame:
-    """(node, root) of the digests that alike(text, text, least) connects, of pairs that share a key.
+    """(node, root) of the digests that alike(texts, texts, least) connects pair by pair, of those that share a key.
 
     seen: (digest, keys, COMPARED), a digest once or more; null keys are passed
     over. texts gives (digest, t) of the digests that it is asked for, others
@@ -590,7 +691,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         bitmap = spark.sparkContext.broadcast(_bitmap(raw, size))
         return docs.select(text.alias("t")).mapInArrow(_wanted(bitmap, min_words), "digest long, t string")
 
-    roots = linked(seen, texts, similar, least, radius, piece=piece)
+    roots = linked(seen, texts, similar_lines, least, radius, piece=piece)
     grouped = seen.select("id", "text_hash", "line", "digest").join(roots, F.col("digest") == F.col("node"), "left")
     grouped = stored(grouped.select("id", "text_hash", "line", F.coalesce("root", "digest").alias("group")), "grouped")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "line")

@@ -52,6 +52,16 @@ def test_edit_distance():
     assert L.edit_distance(long, long.replace("y", "qq"), 10) == 2
 
 
+def test_distances_in_step():
+    rng = np.random.default_rng(17)
+    a = ["".join(rng.choice(list("abcdeé\U0001f600"), rng.integers(0, 200))) for _ in range(150)] + ["", "", "x"]
+    b = ["".join(c for c in x if rng.random() > 0.2) + "".join(rng.choice(list("abc"), rng.integers(0, 30))) for x in a[:-3]] + ["", "yz", ""]
+    want = [levenshtein(x, y) for x, y in zip(a, b)]
+    assert L.edit_distances(a, b).tolist() == want and L.edit_distances(b, a).tolist() == want and L.edit_distances([], []).tolist() == []
+    good = L.similar_lines(a, b)
+    assert good.tolist() == [d <= int(0.2 * max(len(x), len(y)) + 1e-9) for d, x, y in zip(want, a, b)] and 5 < good.sum() < 150
+
+
 def test_simhash_of_lines():
     import xxhash
 
@@ -122,7 +132,7 @@ def test_query(spark):
 
 def found(lines, pairs):
     """Whether each pair of lines shares a key under which it is compared."""
-    line, key, short, long = L.keys_of(lines)
+    line, key, maps = L.keys_of(lines)
     own = [set() for _ in lines]
     for n, k in zip(line.tolist(), key.tolist()):
         own[n].add(k)
@@ -130,7 +140,7 @@ def found(lines, pairs):
     for a, b in pairs:
         kinds = np.array(sorted({k & 3 for k in own[a] & own[b]}), np.int64)
         most = np.full(len(kinds), int(0.2 * max(len(lines[a]), len(lines[b])) + 1e-9))
-        halves = [tuple(np.array([(long if k == L.LONG_KIND else short)[n, h] for k in kinds], np.uint64) for n in (a, b)) for h in (0, 1)]
+        halves = [tuple(np.array([maps[n, k, h] for k in kinds], np.uint64) for n in (a, b)) for h in (0, 1)]
         out.append(bool(len(kinds)) and bool(L.comparable(kinds, halves, most).any()))
     return np.array(out)
 
