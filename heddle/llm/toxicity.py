@@ -12,15 +12,17 @@ expected grade.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heddle.llm.shared import drop, stored
 from heddle.llm.words import words_of
 from heddle.sources import read_table
 
@@ -33,6 +35,8 @@ TIMES = (1, 2, 4)
 RIDGE = 0.5
 REJECT = 0.5  # probability of any grade over 0
 HASH_BITS = 26
+AT_ONCE = 1 << 22  # bytes of text scored together
+KNOWN = 500_000  # words whose stems are remembered
 
 
 def stems_of(word: bytes) -> list[int]:
@@ -121,72 +125,110 @@ class CumulativeLink:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [np.array(features_of(t, stems_of), np.int32) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["grade", "words"])
+        found = [np.array(features_of(t.as_py(), stems_of), np.int32) for t in batch.column(3)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.int32()))], ["id", "h", "grade", "words"])
 
 
 def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", sample: int = SAMPLE) -> tuple[dict[int, float], CumulativeLink]:
-    """Weights by feature number, and the model. At most ``sample`` labels are used, taken by a hash of their id; null ids or grades aren't."""
+    """Weights by feature number, and the model. At most ``sample`` labels are used, taken by a hash of their id; null ids or grades aren't.
+
+    Of rows that repeat a labelled id one counts, that with the least text hash.
+    Features are counted in Spark; the driver gets the selected ones alone, at
+    most FEATURES for each label used.
+    """
     picked = grades.select(F.col(id_col).cast("long").alias("of"), F.col(grade_col).cast("int").alias("grade")).where("of is not null and grade is not null").distinct()
     picked = picked.orderBy(F.xxhash64("of"), "of", "grade").limit(sample)  # bounded, so it may be broadcast
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).join(F.broadcast(picked), F.col("id") == F.col("of"))
-    table = rows.select("grade", "t").mapInArrow(_features, "grade int, words array<int>").toArrow().combine_chunks()
-    y = table.column("grade").to_numpy().astype(np.int64)
-    lists = table.column("words").combine_chunks() if len(y) else pa.array([], pa.list_(pa.int32()))
-    words = lists.flatten().to_numpy()
-    doc = np.repeat(np.arange(len(y), dtype=np.int32), lists.value_lengths().to_numpy())
-    order = np.lexsort((doc, words))
-    words, doc = words[order], doc[order]
-    number, start, n = np.unique(words, return_index=True, return_counts=True)
-    if not len(number) or y.min() == y.max():
-        return {}, CumulativeLink.fit(np.zeros((len(y), 0)), y)
-    mean, var = y.mean(), y.var()
-    z = (np.add.reduceat(y[doc], start) - n * mean) / np.sqrt(n * var * np.maximum(1 - n / len(y), 1e-9))
-    z[n < MIN_DOCS] = 0
-    best = np.sort(np.argsort(-np.abs(z), kind="stable")[:FEATURES])
-    best = best[np.abs(z[best]) >= MIN_Z]
-    x = np.zeros((len(y), len(best)))
-    for column, i in enumerate(best):
-        x[doc[start[i] : start[i] + n[i]], column] = 1
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).alias("x")).join(F.broadcast(picked), F.col("id") == F.col("of"))
+    rows = rows.groupBy("id", "grade").agg(F.min("x.h").alias("h"), F.min_by("x.t", "x.h").alias("t"))
+    table = stored(rows.select("id", "h", "grade", "t").mapInArrow(_features, "id long, h long, grade int, words array<int>"), "features")
+    n, total, squares, low, high = table.select(F.count(F.lit(1)), F.sum("grade"), F.sum(F.col("grade") * F.col("grade")), F.min("grade"), F.max("grade")).first()
+    best: list[int] = []
+    if n and low < high:
+        mean = total / n
+        var = squares / n - mean * mean
+        seen = table.select("grade", F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("grade").alias("s")).where(F.col("n") >= MIN_DOCS)
+        z = F.abs((F.col("s") - F.col("n") * mean) / F.sqrt(F.col("n") * var * F.greatest(1 - F.col("n") / n, F.lit(1e-9))))
+        best = sorted(r.w for r in seen.withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "w").limit(FEATURES).collect())
+    chosen = F.array(*map(F.lit, best)).cast("array<int>")
+    held = sorted((r.id, r.h, r.grade, r.words) for r in table.select("id", "h", "grade", F.array_intersect("words", chosen).alias("words")).collect())
+    drop(table)
+    x, y = np.zeros((len(held), len(best))), np.array([r[2] for r in held], np.int64)
+    for row, (*_, words) in enumerate(held):
+        x[row, np.searchsorted(best, words)] = 1
     model = CumulativeLink.fit(x, y)
-    return dict(zip(number[best].tolist(), model.weights.tolist())), model
+    return dict(zip(best, model.weights.tolist())), model
 
 
 def _score(weights: dict[int, float], model: CumulativeLink):
     grades = model.grades.astype(float)
-
-    useful = {n // len(TIMES) for n in weights}
+    stems_used = np.array(sorted({n // len(TIMES) for n in weights}), np.int64)
+    by_level = np.array([[weights.get(int(s) * len(TIMES) + k, 0.0) for k in range(len(TIMES))] for s in stems_used]).reshape(-1, len(TIMES))
+    used = {int(s): i for i, s in enumerate(stems_used)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[int, ...]] = {}  # the stems with a weight
-
-        def stems(word: bytes) -> tuple[int, ...]:
-            own = known.get(word)
-            if own is None:
-                if len(known) > 500_000:
-                    known.clear()
-                own = known[word] = tuple(n for n in stems_of(word) if n in useful)
-            return own
+        known: dict[bytes, int] = {}  # number of a word's stems that have a weight; 0: it has none
+        lists: list[list[int]] = [[]]
+
+        def sums(texts: Iterable[str | None], n: int) -> np.ndarray:
+            """Scores of texts: a product of the sparse rows of stems held with their weights."""
+            doc, word = [], []
+            for k, text in enumerate(texts):
+                words = words_of(text)
+                for w in set(words).difference(known):
+                    own = sorted({used[x] for x in stems_of(w) if x in used})
+                    known[w] = len(lists) if own else 0
+                    if own:
+                        lists.append(own)
+                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                at = at[at > 0]
+                doc.append(np.full(len(at), k))
+                word.append(at)
+            docs, words_at = np.concatenate(doc), np.concatenate(word)
+            size = np.array([len(x) for x in lists])
+            flat, start = np.array([i for x in lists for i in x], np.int64), np.cumsum(size) - size
+            times = size[words_at]
+            stem = flat[np.repeat(start[words_at], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
+            cell, held = np.unique(np.repeat(docs, times) * max(1, len(used)) + stem, return_counts=True)
+            row, stem = np.divmod(cell, max(1, len(used)))
+            value = np.where(held[:, None] >= TIMES, by_level[stem], 0.0) if len(cell) else np.zeros((0, len(TIMES)))
+            return np.bincount(np.repeat(row, len(TIMES)), weights=value.ravel(), minlength=n)
 
         for batch in batches:
-            scores = [sum(weights.get(n, 0.0) for n in sorted(features_of(t, stems))) for t in batch.column(2).to_pylist()]
-            above = model.above(np.array(scores))
-            low = grades[0] if len(grades) else 0.0
-            severity = low + above @ np.diff(grades) if len(grades) > 1 else np.full(len(scores), low)
-            over = np.full(len(scores), float(low > 0))  # P(grade > 0)
-            if low <= 0 and len(grades) > 1:
-                over = above[:, int(np.searchsorted(grades, 0, side="right")) - 1]
-            names = [n for n in batch.schema.names if n != "t"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(severity), pa.array(over)], [*names, "severity", "p_toxic"])
+            start = 0
+            for stop in _cuts(batch.column("t")):
+                if len(known) > KNOWN:
+                    known.clear()
+                    lists[1:] = []
+                part = batch.slice(start, stop - start)
+                scores = sums((t.as_py() for t in part.column("t")), len(part))
+                start = stop
+                above = model.above(scores)
+                low = grades[0] if len(grades) else 0.0
+                severity = low + above @ np.diff(grades) if len(grades) > 1 else np.full(len(scores), low)
+                over = np.full(len(scores), float(low > 0))  # P(grade > 0)
+                if low <= 0 and len(grades) > 1:
+                    over = above[:, int(np.searchsorted(grades, 0, side="right")) - 1]
+                names = [n for n in part.schema.names if n != "t"]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(severity), pa.array(over)], [*names, "severity", "p_toxic"])
 
     return run
 
 
+def _cuts(texts: pa.Array) -> Iterator[int]:
+    """Ends of runs of texts of some AT_ONCE bytes."""
+    held = 0
+    for n, size in enumerate(pc.binary_length(texts).fill_null(0).to_pylist(), 1):
+        held += size
+        if held >= AT_ONCE or n == len(texts):
+            yield n
+            held = 0
+
+
 def severity(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", sample: int = SAMPLE, carry: bool = False) -> DataFrame:
     """(id, text_hash, severity double, p_toxic double): a row for each row of ``docs``, with ``carry`` as struct ``row`` beside it.
 
     ``grades``: a row for each label, integer grades, 0 is clean; a document
-    with several labels counts with each. severity is the expected grade,
+    with several labels counts with each. Very long texts count whole. severity is the expected grade,
     p_toxic the probability of a grade over 0. Null and empty texts have no
     words and get the base rate. Without any label, or with one grade alone,
     that grade (0 without any) is every text's severity. Repeated rows repeat.

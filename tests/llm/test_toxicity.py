@@ -1,5 +1,9 @@
+import math
+import re
+
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from heddle.llm import toxicity as T
@@ -75,5 +79,33 @@ def test_held_out_accuracy(spark, sf):
 
 
 def test_query(spark):
-    out = T.op4_toxicity_ordinal(spark, "/root/testdata/sf0.01").collect()
-    assert len(out) == 1000 and all(0 <= r.severity <= 1 and 0 <= r.p_toxic <= 1 for r in out)
+    """Scores of the query against the definition, text by text."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    weights, model = T.train(docs, T.graded(labels))
+    assert 10 < len(weights) <= T.FEATURES
+    out = {r.doc_id: r for r in T.op4_toxicity_ordinal(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(out) == len(rows) == 1000
+    for r in rows:
+        words = re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (r.text or "").lower()).split(" ")
+        held = {}
+        for w in filter(None, words):
+            for form in {w, *(w[:n] + "-" for n in (3, 4, 5, 6, 7) if len(w) > n)}:
+                stem = xxhash.xxh32_intdigest(form.encode()) >> 6
+                held[stem] = held.get(stem, 0) + 1
+        score = sum(weights.get(3 * stem + k, 0) for stem, n in held.items() for k, least in enumerate((1, 2, 4)) if n >= least)
+        p = 1 / (1 + math.exp(model.thresholds[0] - score))
+        assert abs(out[r.doc_id].p_toxic - p) < 2e-6 and abs(out[r.doc_id].severity - p) < 2e-6 and out[r.doc_id].toxic == (p >= 0.5), r.doc_id
+    assert any(r.toxic for r in out.values())
+
+
+def test_scoring_in_parts_and_repeated_labels(spark, monkeypatch):
+    docs = [(i, f"{'rude ' * (i % 5)}word{i % 7} other") for i in range(60)]
+    labels = [(i, int(i % 5 > 1)) for i in range(60)]
+    want = sorted(map(tuple, run(spark, docs, labels)))
+    monkeypatch.setattr(T, "AT_ONCE", 40)
+    monkeypatch.setattr(T, "KNOWN", 1)
+    assert sorted(map(tuple, run(spark, docs, labels))) == want
+    again = run(spark, docs + [docs[3]] * 200, labels)
+    assert sorted(set(map(tuple, again))) == want and len(again) == 260
