@@ -207,4 +207,53 @@ def op5_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_pii_disclosure": op5_pii_disclosure}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_pii_disclosure": rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+kinds(kind, place, pattern) AS (VALUES
+  ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), ('ip', 2, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  ('card', 3, '[0-9]([ -]?[0-9])+'), ('phone', 4, '\+[0-9][ ().0-9-]+[0-9]'), ('term', 5, '\p{{L}}+')),
+cut AS (  -- hits and what stands before each
+  SELECT r, kind, place, unnest(range(1, len(hits) + 1)) AS k, unnest(hits) AS value, unnest(pieces[1:len(hits)]) AS piece
+  FROM (SELECT r, kind, place, regexp_extract_all(t, pattern) AS hits, string_split_regex(t, pattern) AS pieces FROM docs, kinds)),
+found AS (
+  SELECT r, kind, place, value, regexp_replace(value, '[^0-9]', '', 'g') AS digits,
+         sum(length(piece)) OVER w + coalesce(sum(length(value)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM cut WINDOW w AS (PARTITION BY r, kind ORDER BY k)),
+base AS (
+  SELECT r, kind, place, value, start, start + length(value) AS stop FROM found
+  WHERE CASE kind WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(value, '.'), lambda x: length(ltrim(x, '0')) > 3 OR CAST(right('000' || x, 3) AS INT) > 255)) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19
+      AND list_sum(list_transform(string_split(reverse(digits), ''), lambda c, i: CASE WHEN i % 2 = 1 THEN CAST(c AS INT) WHEN CAST(c AS INT) > 4 THEN 2 * CAST(c AS INT) - 9 ELSE 2 * CAST(c AS INT) END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15 ELSE false END),
+texts AS (SELECT t, min(r) AS r FROM docs GROUP BY t),
+size AS (SELECT count(*) AS n FROM texts),
+words AS (SELECT DISTINCT r, unnest(string_split_regex(lower(t), '[^\p{{L}}]+')) AS term FROM texts),
+terms AS (SELECT term, count(*) AS n_term FROM words GROUP BY term),
+held AS (SELECT DISTINCT r, kind || ':' || lower(value) AS entity FROM base SEMI JOIN texts USING (r)),
+entities AS (SELECT entity, count(*) AS n_entity FROM held GROUP BY entity),
+own AS (
+  SELECT DISTINCT r, term FROM (
+    SELECT r, unnest(string_split_regex(lower(regexp_replace(t, '\S*[@0-9]\S*', ' ', 'g')), '[^\p{{L}}]+')) AS term FROM texts WHERE r IN (SELECT r FROM held))
+  WHERE length(term) > 2),
+pairs AS (SELECT entity, term, count(*) AS n_pair FROM held JOIN own USING (r) GROUP BY entity, term),
+telling AS (
+  SELECT DISTINCT term FROM pairs JOIN entities USING (entity) JOIN terms USING (term), size
+  WHERE n_entity < n AND 1 + log2((n_pair + {PRIOR} * n_entity / n) / (n_term + {PRIOR})) / log2(n / n_entity) >= {DISCLOSED}),
+spans AS (
+  SELECT r, kind, place, start, stop FROM base
+  UNION ALL
+  SELECT r, kind, place, start, start + length(value) FROM found f
+  WHERE kind = 'term' AND lower(value) IN (SELECT term FROM telling)
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = f.r AND b.start < f.start + length(f.value) AND f.start < b.stop)),
+written AS (
+  SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY place, start) FILTER (kind <> 'term') AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY place, start) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN written USING (r)
+"""
+}
