@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heddle.llm.shared import new_path, stored
+from heddle.llm.shared import drop, new_path, stored
 from heddle.sources import read_table
 
 LIMIT = 512
@@ -86,8 +86,10 @@ def _read_cache(spark: SparkSession, path: str) -> DataFrame:
 def token_counts(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit): one row for each row of ``docs``.
 
-    ``cache_path``: a Parquet table in a shared folder that grows with each
-    run; it need not exist yet. Null texts count as empty: 0 tokens. Ids may be
+    ``cache_path``: a Parquet table in a shared folder that grows
+    with each run; it need not exist yet. Of the cache, the digests of ``docs``
+    alone are shuffled. Null texts count as empty: 0 tokens; very long
+    ones are encoded whole. Equal texts are encoded once. Ids may be
     null or repeated. Other columns aren't read. An empty table gives no rows.
     """
     spark, version = docs.sparkSession, tokenizer_version(tokenizer)
@@ -95,19 +97,21 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
     digest = F.unhex(F.sha2(text, 256))
     seen = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("digest")), "digests")
 
+    asked = stored(seen.select("digest").distinct(), "asked")
+
     def known() -> DataFrame:
-        rows = _read_cache(spark, cache_path).where(F.col("tokenizer") == version)
-        return stored(rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "known")
+        rows = _read_cache(spark, cache_path).where(F.col("tokenizer") == version).join(asked, "digest", "left_semi")
+        return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
-    cached = known()
     texts = docs.select(digest.alias("digest"), text.alias("t"))
-    if not cached.isEmpty():
-        misses = stored(seen.select("digest").distinct().join(cached, "digest", "left_anti"), "misses")
+    misses = stored(asked.join(known(), "digest", "left_anti"), "misses")
+    if misses.count() < asked.count():
         texts = texts.join(misses, "digest", "left_semi")
     once = texts.groupBy("digest").agg(F.first("t").alias("t"))
     new = once.mapInArrow(_encode(tokenizer), "digest binary, n_tokens long")
     new.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
     counts = known().withColumnRenamed("digest", "of")
+    drop(misses)
     return seen.join(counts, F.col("digest") == F.col("of"), "left").select("id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 

@@ -90,6 +90,19 @@ def test_overlapping_sources(spark):
     assert sum(got.values()) == 80 and got["[]"] == 0 and got['["b"]'] <= 40 + 40 and table["a"].taken == 30 and table["b"].taken == 50
 
 
+def test_odd_sources_long_texts_and_many_equal_rows(spark):
+    rows = [(1, "w " * 200_000, "x\x1by"), (2, "a b", 'quo"te'), (3, "", "a/b")] + [(None, "same three words", "é\u2028")] * 500
+    out, table = mixed(spark, rows)
+    assert set(table) == {"x\x1by", 'quo"te', "a/b", "é\u2028"} and len(out) == len(rows)
+    got = Counter()
+    for r in out:
+        assert 0 <= r.taken <= 2 * r.size
+        got[r.pattern] += r.taken
+    assert {r.size for r in out} == {200_000, 2, 0, 3}
+    for t in table.values():
+        assert t.pattern_of_one in got and t.target - got[t.pattern_of_one] < 500 and got[t.pattern_of_one] <= t.target + 1
+
+
 def test_empty(spark):
     assert mixed(spark, []) == ([], {})
 
