@@ -1,7 +1,8 @@
 """SimHash near-dedup with BK-trees.
 
-Fingerprints that differ in at most r bits agree on one of r + 1 bit blocks at
-least, so (block, value) names a shard and any link lies within a shard. A
+Fingerprints that differ in at most r bits agree on all but r of their bit
+blocks, so (set of blocks, their value) names a shard and any link lies within a
+shard; how many blocks there are follows from the number of fingerprints. A
 shard's distinct fingerprints form BK-trees (children keyed by their Hamming
 distance to the parent), each tree goes to the shard's queries, and a search
 follows only the edges within r of its distance. Large shards are cut into
@@ -12,6 +13,7 @@ a task is a spanning forest of its links, never its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ SEED = 42
 SHINGLE = 3
 RADIUS = 3
 PIECE = 512
+SHARD = 64  # fingerprints to a shard, about
 SEARCH = 1 << 20  # (query, node) pairs looked at together
 
 
@@ -156,19 +159,33 @@ def _links(batches: Iterable[pa.RecordBatch], radius: int, at_once: int = 50_000
         yield _flush(parts, radius)
 
 
-def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE, keep: Sequence[str] = ()) -> DataFrame:
+def blocks_for(count: int, radius: int = RADIUS) -> int:
+    """Bit blocks to cut fingerprints into, so that ``count`` of them leave SHARD to a shard, about.
+
+    All but ``radius`` blocks are whole in a link, so more blocks give wider
+    shard keys, and more of them: 16, 24 and 30 bits, and 4, 10 and 20 keys at
+    radius 3.
+    """
+    for blocks in (radius + 1, radius + 2):
+        if count <= SHARD << 64 // blocks * (blocks - radius):
+            return blocks
+    return radius + 3
+
+
+def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE, keep: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """Fingerprints (fp) dealt to their shards: (block, value, one, two, role, fp) and the columns of ``keep``.
 
     A shard of over ``piece`` fingerprints has several pieces, and a row for
     each pair (one, two) of pieces that the fingerprint's own is part of.
     role: 0 is both in the tree and a query, 1 in the tree, 2 a query.
     """
-    blocks = radius + 1
+    blocks = blocks or radius + 1
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    keys = [
-        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", lo).bitwiseAND((1 << (hi - lo)) - 1).alias("value"))
-        for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
-    ]
+    keys = []
+    for number, whole in enumerate(combinations(range(blocks), blocks - radius)):
+        mask = sum((1 << edges[i + 1]) - (1 << edges[i]) for i in whole)
+        value = F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+        keys.append(F.struct(F.lit(number).alias("block"), value.alias("value")))
     rows = fps.select("fp", *keep, F.explode(F.array(*keys)).alias("k")).select("k.block", "k.value", "fp", *keep)
     large = rows.groupBy("block", "value").count().where(F.col("count") > piece)
     large = large.select("block", "value", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
@@ -186,11 +203,11 @@ def shards(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE, keep: Seque
     )
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = RADIUS, piece: int = PIECE, blocks: int | None = None) -> DataFrame:
     """(a long, b long): links that connect exactly what chains of fingerprints within ``radius`` bits connect."""
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["block", "value", "one", "two"]
-    dealt = shards(fps, radius, piece).repartition(parts, *order).sortWithinPartitions(*order)
+    dealt = shards(fps, radius, piece, blocks=blocks or blocks_for(fps.count(), radius)).repartition(parts, *order).sortWithinPartitions(*order)
     return dealt.mapInArrow(lambda batches: _links(batches, radius), "a long, b long")
 
 

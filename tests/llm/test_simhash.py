@@ -100,3 +100,21 @@ def test_query_on_all_documents(spark):
     fps = [plain_fingerprint(docs[i]) for i in ids]
     root = roots_by_pairs(fps)
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in out} == {i: (f"{f:016x}", ids[c]) for i, f, c in zip(ids, fps, root)}
+
+
+@pytest.mark.parametrize("blocks", [4, 5, 6])
+def test_links_are_the_same_by_any_number_of_blocks(spark, blocks):
+    rng = np.random.default_rng(18)
+    fps = {int(x) for x in rng.integers(-(2**63), 2**63, 60)}
+    for x in sorted(fps):
+        for _ in range(3):
+            flips = sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 6), replace=False))
+            fps.add(int(np.uint64(x & (2**64 - 1)) ^ np.uint64(flips)) - ((1 << 64) if int(np.uint64(x & (2**64 - 1)) ^ np.uint64(flips)) >> 63 else 0))
+    fps = sorted(fps)
+    pairs = [(a, b) for a in range(len(fps)) for b in range(a) if ((fps[a] ^ fps[b]) & (2**64 - 1)).bit_count() <= 3]
+    want = local_roots(len(fps), *np.array(pairs).T)
+    links = S.near_links(spark.createDataFrame([(x,) for x in fps], "fp long"), piece=16, blocks=blocks).collect()
+    at = {x: i for i, x in enumerate(fps)}
+    got = local_roots(len(fps), *np.array([(at[r.a], at[r.b]) for r in links]).T)
+    assert got.tolist() == want.tolist() and 100 < len(pairs)
+    assert [S.blocks_for(n) for n in (0, 64 << 16, (64 << 16) + 1, 64 << 24, 10**11)] == [4, 4, 5, 5, 6]
