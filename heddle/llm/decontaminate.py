@@ -268,8 +268,50 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def op7_decontaminate_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap, short of the benchmark items in all documents."""
     found = leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
-    return found.drop("text_hash").withColumnRenamed("id", "doc_id")
+    return found.drop("text_hash").withColumnRenamed("id", "doc_id").withColumn("score", F.round("score", 6))
 
 
 QUERIES = {"op7_decontaminate_wand": op7_decontaminate_wand}
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
+ORACLE_SQL = {
+    "op7_decontaminate_wand": rf"""
+WITH items AS (SELECT row_number() OVER () AS item, item_id, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM benchmark WHERE text IS NOT NULL),
+halves AS (
+  SELECT item, item_id, regexp_extract_all(lower(CASE WHEN contains(t, chr(10)) THEN regexp_extract(t, '(?s)^(.*)\n[^\n]*$', 1) ELSE t END), {_WORDS}) AS q,
+         CASE WHEN contains(t, chr(10)) THEN regexp_extract_all(lower(regexp_extract(t, '[^\n]*$')), {_WORDS}) ELSE [] END AS a FROM items),
+worded AS (SELECT *, list_concat(q, a) AS w, len(q) + len(a) AS n, len(a) AS na FROM halves WHERE len(q) + len(a) > 0),
+sized AS (SELECT *, CAST(ceil(n / ceil(n / {UNIT})) AS BIGINT) AS size FROM worded),
+units AS (SELECT item, k, unnest(w[k * size + 1 : (k + 1) * size]) AS term FROM (SELECT *, unnest(range(CAST(ceil(n / size) AS BIGINT))) AS k FROM sized)),
+counted AS (SELECT *, sum(f) OVER (PARTITION BY item, k) AS length FROM (SELECT item, k, term, count(*) AS f FROM units GROUP BY item, k, term)),
+corpus AS (SELECT count(*) AS units, avg(length) AS average, greatest(16, max(length)) AS tile FROM (SELECT DISTINCT item, k, length FROM counted)),
+raws AS (
+  SELECT item, k, term, ln(1 + (units - count(*) OVER t + 0.5) / (count(*) OVER t + 0.5)) * f * ({K1} + 1) / (f + {K1} * (1 - {B} + {B} * length / average)) AS raw
+  FROM counted, corpus WINDOW t AS (PARTITION BY term)),
+impacts AS (SELECT item, k, term, raw / sum(raw) OVER (PARTITION BY item, k) AS impact FROM raws),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), {_WORDS}) AS w FROM documents),
+words AS (SELECT r, unnest(w) AS term, unnest(range(len(w))) AS i FROM docs),
+tiled AS (SELECT DISTINCT r, i // tile AS p, term FROM words, corpus),
+passages AS (SELECT r, p, term FROM tiled UNION SELECT r, p - 1, term FROM tiled WHERE p > 0),
+over AS (
+  SELECT r, p, item, max(score) AS best FROM (SELECT r, p, item, k, sum(impact) AS score FROM passages JOIN impacts USING (term) GROUP BY r, p, item, k)
+  WHERE score >= {THRESHOLD} - 1e-9 GROUP BY r, p, item),
+widths AS (SELECT {SHINGLE} AS n UNION SELECT n FROM worded WHERE n < {SHINGLE} UNION SELECT na FROM worded WHERE na BETWEEN 1 AND {SHINGLE} - 1),
+parts AS (
+  SELECT item, false AS answer, greatest(1, n - {SHINGLE} + 1) - greatest(0, na - {SHINGLE} + 1) AS many, w FROM worded
+  UNION ALL SELECT item, true, CASE WHEN na = 0 THEN 0 ELSE greatest(1, na - {SHINGLE} + 1) END, a FROM worded),
+shingles AS (SELECT item, answer, place, array_to_string(w[place : place + {SHINGLE} - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, many + 1)) AS place FROM parts)),
+wide AS (SELECT DISTINCT string_split(gram, ' ')[1] AS term FROM shingles),
+starts AS (SELECT r, i, w[i + 1 : i + {SHINGLE}] AS ahead FROM words SEMI JOIN wide USING (term) JOIN docs USING (r)),
+grams AS (SELECT r, i, n, array_to_string(ahead[1:n], ' ') AS gram FROM starts, widths WHERE len(ahead) >= n),
+hits AS (SELECT r, i // tile AS p, i, n, tile, item, answer, place FROM grams JOIN shingles USING (gram), corpus),
+near AS (SELECT r, p, item, answer, place FROM hits UNION ALL SELECT r, p - 1, item, answer, place FROM hits WHERE p > 0 AND i + n <= (p + 1) * tile),
+summed AS (
+  SELECT r, item, max(best) AS score, count(DISTINCT place) FILTER (NOT answer) AS q, count(DISTINCT place) FILTER (answer) AS a
+  FROM near JOIN over USING (r, p, item) GROUP BY r, item),
+wanted AS (SELECT item, sum(many) FILTER (NOT answer) AS nq, sum(many) FILTER (answer) AS na FROM parts GROUP BY item)
+SELECT doc_id, item_id, round(score, 6) AS score, CASE WHEN nq > 0 THEN CAST(q / nq AS DOUBLE) ELSE 1.0 END AS question_overlap,
+       CASE WHEN wanted.na > 0 THEN CAST(a / wanted.na AS DOUBLE) ELSE 1.0 END AS answer_overlap, n < {SHINGLE} AS short
+FROM summed JOIN wanted USING (item) JOIN (SELECT item, item_id, n FROM worded) USING (item) JOIN docs USING (r)
+WHERE q + a >= {OVERLAP} * (nq + wanted.na) AND a >= {ANSWER} * wanted.na
+"""
+}
