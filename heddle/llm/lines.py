@@ -45,7 +45,7 @@ BITMAP, BITMAP_MOST = 1 << 24, 1 << 28  # bits, 16 for each line that is asked f
 PAIRS = 1 << 18  # looked at together
 WORDS_AT_ONCE = 100_000
 CHARS_AT_ONCE = 1 << 18
-PAIRS_AT_ONCE, WORDS_IN_STEP, FEW = 4096, 24_000, 32  # pairs that are verified together
+PAIRS_AT_ONCE, STEP_CHARS, FEW = 4096, 128, 32  # pairs that are verified together; characters of those whose distances are found in step
 BROADCAST = 1 << 20  # rows of a number or two; more of them are joined
 
 
@@ -353,19 +353,14 @@ def similar_lines(a: list[str], b: list[str], least: float = SIMILAR) -> np.ndar
     good = np.array([aligned(x.split(" "), y.split(" "), z) for x, y, z in zip(a, b, most.tolist())], bool)
     size = np.array([min(len(x), len(y)) for x, y in zip(a, b)])
     rest = np.flatnonzero(~good)
-    rest = rest[np.argsort(size[rest], kind="stable")]
-    start = 0
-    while start < len(rest):
-        stop = start + 1
-        while stop < len(rest) and (stop + 1 - start) * (size[rest[stop]] // 64 + 1) <= WORDS_IN_STEP:
-            stop += 1
-        own = rest[start:stop].tolist()
-        if len(own) < FEW:  # of long strings: numbers of any length do as well
-            good[own] = [edit_distance(a[k], b[k], int(most[k])) <= most[k] for k in own]
-        else:
-            swap = [(a[k], b[k]) if len(a[k]) <= len(b[k]) else (b[k], a[k]) for k in own]
-            good[own] = edit_distances([x for x, _ in swap], [y for _, y in swap]) <= most[own]
-        start = stop
+    step = rest[size[rest] <= STEP_CHARS]
+    if len(step) < FEW:
+        step = rest[:0]
+    for k in np.setdiff1d(rest, step).tolist():  # of long strings: numbers of any length take fewer operations
+        good[k] = edit_distance(a[k], b[k], int(most[k])) <= most[k]
+    if len(step):
+        swap = [(a[k], b[k]) if len(a[k]) <= len(b[k]) else (b[k], a[k]) for k in step.tolist()]
+        good[step] = edit_distances([x for x, _ in swap], [y for _, y in swap]) <= most[step]
     return good
 
 
