@@ -33,6 +33,8 @@ MUST_HOLD = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 PRIOR = 1  # texts
 DISCLOSED = 0.9
 TERM = r"[^\p{L}]+"
+# Pieces of a text of up to 8000 code points, each ending with a letter run or between runs.
+PIECES = r"(?s).{0,7999}\P{L}|.{1,8000}$|\p{L}+"
 TERMS_AT_ONCE = 500_000  # broadcast together; more take more passes
 BROADCAST = 500_000  # digests of 16 bytes, and a number; more of them are joined
 FOUND = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -174,10 +176,18 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if telling.count() <= BROADCAST:  # then only their texts are shuffled
         rows = rows.join(F.broadcast(telling.select("digest")), "digest", "left_semi")
     rows = rows.join(telling, "digest")
+    # terms are looked for in pieces that hold few of them, so that very long texts take no longer by the character
+    ends = F.transform("pieces_of", lambda x: F.length(x))
+    begin = F.aggregate(ends, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
+    rows = rows.groupBy("digest").agg(F.first("terms").alias("terms"), F.first("t").alias("t"))
+    rows = rows.select("digest", "terms", F.regexp_extract_all("t", F.lit(PIECES), F.lit(0)).alias("pieces_of"))
+    rows = rows.select("digest", "terms", F.explode(F.arrays_zip(F.col("pieces_of").alias("piece"), begin.alias("begin"))).alias("x")).where("x.piece is not null")
+    rows = rows.select("digest", F.col("x.begin").alias("begin"), F.col("x.piece").alias("t"), F.array_intersect("terms", F.split(F.lower("x.piece"), TERM)).alias("terms")).where(F.size("terms") > 0)
     rows = rows.withColumn("pattern", F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})")))
-    rows = rows.select("digest", F.expr("regexp_extract_all(t, pattern, 0)").alias("hits"), F.expr("split(t, pattern)").alias("pieces"))
-    rows = rows.select("digest", F.transform(_located("term", F.col("hits"), F.col("pieces")), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("terms"))
-    rows = stored(rows.groupBy("digest").agg(F.first("terms").alias("terms")).withColumnRenamed("digest", "of"), "term_spans")
+    rows = rows.select("digest", "begin", F.expr("regexp_extract_all(t, pattern, 0)").alias("hits"), F.expr("split(t, pattern)").alias("pieces"))
+    found = _located("term", F.col("hits"), F.col("pieces"))
+    rows = rows.select("digest", F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), (s["start"] + F.col("begin")).alias("start"), (s["end"] + F.col("begin")).alias("end"))).alias("terms"))
+    rows = stored(rows.groupBy("digest").agg(F.array_sort(F.flatten(F.collect_list("terms"))).alias("terms")).withColumnRenamed("digest", "of"), "term_spans")
     joined = base.join(rows, F.col("digest") == F.col("of"), "left")
     clear = F.filter("terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return joined.select("id", "digest", F.col("spans").alias("base"), F.when(F.col("terms").isNull(), plain).otherwise(F.concat(plain, clear)).alias("spans"))

@@ -174,3 +174,16 @@ def test_disclosure_matches_brute_force(spark):
         base = [(a, b) for _, a, b in plain_spans(t)]
         spans = [m.span() for m in re.finditer(r"[^\W\d_]+", t) if m[0].lower() in want]
         assert found == [t[a:b] for a, b in spans if not any(x < b and a < y for x, y in base)], t
+
+
+def test_terms_in_very_long_texts(spark):
+    rng = np.random.default_rng(19)
+    words = ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(12_000)]
+    long = " ".join(words) + " jane@corp.example " + "x" * 20_000 + ", " + " ".join(words[::-1]) + "y" * 9_000
+    texts = [long, *(" ".join(words[i::40]) + f" other{i}" for i in range(40) if i % 4)] + [f"more {i}" for i in range(2000)]
+    want = brute_terms(texts)
+    assert len(want) > 2000
+    spans = [m.span() for m in re.finditer(r"[^\W\d_]+", long) if m[0].lower() in want]
+    got = {r.id: [(s.start, s.end) for s in r.spans if s.kind == "term"] for r in run(spark, list(enumerate(texts)))}
+    at = long.index("jane")
+    assert got[0] == [(a, b) for a, b in spans if not (a < at + 17 and at < b)]
