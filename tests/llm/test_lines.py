@@ -249,3 +249,23 @@ def test_very_long_lines_and_clashing_columns(spark):
     out = {r.doc_id: r for r in L.without_lines(df, L.repeated_lines(df)).collect()}
     assert {i: (r.text, r.n_removed) for i, r in out.items()} == {1: (long, 0), 2: ("own", 1), 3: ("", 1)}
     assert tuple(out[2])[2:7] == ("a", "b", "c", "d", 7)
+
+
+def test_bigrams_that_are_counted_tell_short_lines_of_few_letters_apart():
+    rng = np.random.default_rng(21)
+    lines = ["".join(rng.choice(list("then aod"), 36)) for _ in range(200)]
+    maps = L.keys_of(lines)[2]
+    a, b = np.triu_indices(len(lines), 1)
+    for kind in (L.SHORT_KIND, L.MIDDLE_KIND):
+        of = maps[:, kind] if kind == L.SHORT_KIND else np.concatenate([np.zeros((len(lines), 2), np.uint64), maps[:, kind, 2:]], axis=1)  # all bins agree
+        assert L.comparable(np.full(len(a), kind), [(of[a, h], of[b, h]) for h in range(of.shape[1])], np.full(len(a), 7)).mean() < 0.1
+
+
+def test_pair_that_shares_keys_of_two_kinds_is_verified_under_either():
+    import pyarrow as pa
+
+    t = ["x" * 70, "x" * 69 + "y"]
+    keys = [[8 | L.LONG_KIND, 16 | L.MIDDLE_KIND]] * 2  # under the first one too few bins agree
+    columns = {"key": [16 | L.MIDDLE_KIND] * 2, "one": [0, 0], "two": [0, 0], "role": [0, 0], "digest": [1, 2], "chars": [70, 70], **{m: [0, 0] for m in L.MAPS}, "sim": [0, 0], "label": [1, 2], "keys": keys, "t": t}
+    got = L._verified(0.8, None, L.similar_lines)(pa.table(columns))
+    assert sorted(map(sorted, zip(got.column("a").to_pylist(), got.column("b").to_pylist()))) == [[1, 2]]
