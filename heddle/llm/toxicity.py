@@ -159,7 +159,8 @@ def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
     return dict(zip(best, model.weights.tolist())), model
 
 
-def _score(weights: dict[int, float], model: CumulativeLink):
+def _score(weights: dict[int, float], model: CumulativeLink, place: int | None = None):
+    """``place``: where in the struct ``row`` the text is; None: in the column t."""
     grades = model.grades.astype(float)
     stems_used = np.array(sorted({n // len(TIMES) for n in weights}), np.int64)
     by_level = np.array([[weights.get(int(s) * len(TIMES) + k, 0.0) for k in range(len(TIMES))] for s in stems_used]).reshape(-1, len(TIMES))
@@ -195,12 +196,13 @@ def _score(weights: dict[int, float], model: CumulativeLink):
 
         for batch in batches:
             start = 0
-            for stop in _cuts(batch.column("t")):
+            texts = batch.column("t") if place is None else batch.column("row").field(place)
+            for stop in _cuts(texts):
                 if len(known) > KNOWN:
                     known.clear()
                     lists[1:] = []
                 part = batch.slice(start, stop - start)
-                scores = sums((t.as_py() for t in part.column("t")), len(part))
+                scores = sums((t.as_py() for t in texts.slice(start, len(part))), len(part))
                 start = stop
                 above = model.above(scores)
                 low = grades[0] if len(grades) else 0.0
@@ -236,11 +238,13 @@ def severity(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_co
     """
     weights, model = train(docs, grades, id_col, text_col, grade_col, sample)
     text = F.col(text_col)
-    own = [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"), *own)
+    # a carried row has its text: it goes to Python once
+    own = F.struct(*(docs[c] for c in docs.columns)).alias("row") if carry else text.alias("t")
+    place = [c.lower() for c in docs.columns].index(text_col.lower()) if carry else None
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), own)
     kept = [f for f in rows.schema.fields if f.name != "t"]
     kind = T.StructType([*kept, T.StructField("severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
-    return rows.mapInArrow(_score(weights, model), kind)
+    return rows.mapInArrow(_score(weights, model, place), kind)
 
 
 def graded(labels: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import time
 
-from heddle.llm.shared import CLEANUP, drop, stored
+import pyarrow as pa
+
+from heddle.llm.shared import BATCH, BATCH_BYTES, CLEANUP, drop, stored
 
 
 def test_stored_leaves_no_shuffle_files(spark):
@@ -14,3 +16,16 @@ def test_stored_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - there and out.count() == 100 and spark.conf.get(CLEANUP) == before
     drop(out)
+
+
+def test_stored_bounds_batches_of_long_texts(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([len(b)])], ["size", "n"])
+
+    before = spark.conf.get(BATCH)
+    texts = spark.range(0, 3000, 1, 1).selectExpr("repeat(cast(id AS string), 2000) AS t")
+    out = stored(texts.mapInArrow(sizes, "size long, n long"), "sizes")
+    found = out.collect()
+    assert sum(r.n for r in found) == 3000 and max(r.size for r in found) <= 2 * BATCH_BYTES and spark.conf.get(BATCH) == before
+    drop(out)
