@@ -1,27 +1,31 @@
 """Main text of web pages: markup rules, and a suffix array over the pages of a host.
 
 A page is read into blocks, each a run of text in one block element. Markup
-settles what it can: furniture goes, text that stands in an <article> or <main>
-stays, as an article may repeat a passage that stands elsewhere. It settles
-nothing on pages without an article, nor in a part of an article with a class or
-id of its own that names no furniture. There the host decides: the token streams
-of its pages' unsettled blocks are joined into one array whose suffixes are
-sorted by prefix doubling; neighbours that share RUN tokens and stand on LEAST
-distinct pages or more are repeated runs. A longer repeated string is a row of
-such runs, so the suffixes need no further sorting. What runs cover is
-boilerplate, unique runs stay.
-
-A host's streams are dealt to shards of bounded size. A shard's array sums up
-its runs; those of a host of several shards are added up over them by hash, and
-each shard gets back the repeated ones that it holds.
+takes out furniture and is a witness for the rest: it vouches for text that
+stands in an <article> or <main>, and leaves open the text of pages without one
+and of parts of an article with a class or id of their own that names no
+furniture. The token streams of all pages are joined into one array whose
+suffixes are sorted by prefix doubling; neighbours that share RUN tokens are one
+run, counted for a host by the pages that leave it open and those that vouch for
+it. Runs left open by LEAST pages or more, and by more than vouch for them, are
+boilerplate. A longer repeated string is a row of such runs, so the suffixes need
+no further sorting. Open parts that boilerplate covers go. A check follows: text
+of an article stays, as an article may repeat a passage that stands elsewhere.
+
+Pages are read in shards of bounded size, of any hosts. A shard's array sums up
+its runs, which are added up over all shards by hash; each shard gets back the
+boilerplate that it holds.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+import secrets
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import partial
 from html import unescape
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +37,9 @@ from heddle.llm.shared import stored
 from heddle.sources import read_table
 
 SHARD = 1 << 18  # tokens
-BROADCAST = 500_000  # hosts of more than a shard, of some 50 bytes each; more of them are joined
+BROADCAST = 500_000  # runs or shards, of some 20 bytes each; more of them are joined
 RUN = 8  # tokens of a repeated run: what the suffixes are sorted by
-LEAST = 3  # pages of a host that a boilerplate run stands on
+LEAST = 3  # pages of a host that leave a boilerplate run open
 COVERED = 0.8
 AT_ONCE = 1 << 22  # characters of pages in one batch
 
@@ -198,7 +202,7 @@ def blocks_of(html: str | None) -> tuple[list[Block], bool]:
 
 
 def suffix_array(tokens: np.ndarray, page: np.ndarray, depth: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the runs of ``depth`` tokens within a page, in order of the suffixes that start there; number of each run; distinct pages of each number.
+    """Places of the runs of ``depth`` tokens within a page, in order of the suffixes that start there; number of each run; whether it is the first of its number on its page.
 
     The suffix array is sorted by prefix doubling up to ``depth`` tokens (a power of two); neighbours that share as many have one number.
     """
@@ -220,7 +224,7 @@ def suffix_array(tokens: np.ndarray, page: np.ndarray, depth: int = RUN) -> tupl
     new_page = fresh.copy()
     new_page[1:] |= page[order[1:]] != page[order[:-1]]
     group = np.cumsum(fresh) - 1
-    return order, group, np.bincount(group, weights=new_page).astype(np.int64)
+    return order, group, new_page
 
 
 def covered(starts: np.ndarray, n: int, depth: int = RUN) -> np.ndarray:
@@ -233,47 +237,69 @@ def covered(starts: np.ndarray, n: int, depth: int = RUN) -> np.ndarray:
 
 def repeated(tokens: np.ndarray, page: np.ndarray, least: int, depth: int = RUN) -> np.ndarray:
     """Which tokens lie in a run of ``depth`` tokens, within a page, that stands on ``least`` distinct pages or more."""
-    order, group, pages = suffix_array(tokens, page, depth)
+    order, group, first = suffix_array(tokens, page, depth)
+    pages = np.bincount(group, weights=first)
     return covered(order[pages[group] >= least], len(tokens), depth)
 
 
+def boilerplate(opened: np.ndarray, vouched: np.ndarray) -> np.ndarray:
+    """Which runs are boilerplate, by the pages of the host that leave them open and those that vouch for them."""
+    return (opened >= LEAST) & (opened > vouched)
+
+
 class Streams:
-    """Token streams of pages' unsettled blocks, joined; a block's end is a token."""
+    """Token streams of pages, joined: of each page first the blocks left open, then those vouched for; a block's end is a token.
+
+    Words of different hosts are different tokens. ``opened`` and ``vouched``: pages of each numbered run.
+    """
 
-    def __init__(self, pages: list[list[Block]]):
-        known: dict[str, int] = {}
-        tokens, page, unit = [], [], []
-        self.units: list[tuple[int, int]] = []  # page, part
-        number: dict[tuple[int, int], int] = {}
+    def __init__(self, pages: list[list[Block]], hosts: list[str]):
+        fresh = count(1)
+        self.known: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(fresh.__next__))
+        self.number: dict[tuple[int, int], int] = {}  # of the open (page, part)
+        tokens: list[int] = []
+        stream, unit, sizes = [], [], []
         for p, blocks in enumerate(pages):
-            for text, part in blocks:
-                if part:
-                    u = number.setdefault((p, part), len(number))
-                    own = [known.setdefault(w, len(known) + 1) for w in text.split()] + [0]
-                    tokens += own
-                    page += [p] * len(own)
-                    unit += [u] * len(own)
-        self.number = number
-        self.tokens, self.page, self.unit = (np.array(x, dtype=np.int64) for x in (tokens, page, unit))
-        self.hash = np.array([0, *(xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in known)], np.uint64)
-        self.order, self.group, self.pages = suffix_array(self.tokens, self.page) if len(tokens) else (np.empty(0, np.int64),) * 3
-
-    def run_hashes(self) -> np.ndarray:
-        """64-bit hash of each numbered run."""
-        first = self.order[np.unique(self.group, return_index=True)[1]]
-        h = np.zeros(len(first), np.uint64)
+            words = self.known[hosts[p]]
+            for text, part in sorted(blocks, key=lambda b: not b[1]):
+                before = len(tokens)
+                tokens += [words[w] for w in text.split()]
+                tokens.append(0)
+                sizes.append(len(tokens) - before)
+                stream.append(2 * p + (not part))
+                unit.append(self.number.setdefault((p, part), len(self.number)) if part else -1)
+        self.tokens = np.array(tokens, np.int64)
+        page, self.unit = (np.repeat(np.array(x, np.int64), np.array(sizes, np.int64)) for x in (stream, unit))
+        self.order, self.group, first = suffix_array(self.tokens, page)
+        inside = page[self.order] & 1
+        self.opened, self.vouched = (np.bincount(self.group, weights=first & (inside == x)).astype(np.int64) for x in (0, 1))
+
+    def run_hashes(self, runs: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the runs of these numbers and their hosts."""
+        h = np.zeros(len(runs), np.uint64)
+        if not len(runs):
+            return h
+        hashes = np.zeros(1 + sum(map(len, self.known.values())), np.uint64)
+        for host, words in self.known.items():
+            seed = xxhash.xxh64_intdigest(host.encode("utf-8", "replace"))
+            for w, i in words.items():
+                hashes[i] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), seed)
+        first = self.order[np.unique(self.group, return_index=True)[1]][runs]
         for i in range(RUN):
-            h = (h ^ self.hash[self.tokens[first + i]]) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ hashes[self.tokens[first + i]]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         return h
 
-    def gone(self, repeated_runs: np.ndarray) -> set[tuple[int, int]]:
-        """(page, part) of the parts that the runs of these numbers cover."""
-        if not len(self.tokens):
-            return set()
-        hit = covered(self.order[repeated_runs[self.group]], len(self.tokens))
-        share = np.bincount(self.unit, weights=hit) / np.bincount(self.unit)
-        return {key for key, u in self.number.items() if share[u] >= COVERED}
+    def gone(self, runs: np.ndarray) -> dict[int, set[int]]:
+        """By page, the open parts that the runs of which this is true cover."""
+        out: dict[int, set[int]] = {}
+        if self.number:
+            hit, is_open = covered(self.order[runs[self.group]], len(self.tokens)), self.unit >= 0
+            share = np.bincount(self.unit[is_open], weights=hit[is_open]) / np.bincount(self.unit[is_open])
+            for (p, part), u in self.number.items():
+                if share[u] >= COVERED:
+                    out.setdefault(p, set()).add(part)
+        return out
 
 
 def _joined(blocks: list[Block], gone: set[int]) -> str:
@@ -283,54 +309,57 @@ def _joined(blocks: list[Block], gone: set[int]) -> str:
 def main_texts(htmls: list[str | None]) -> list[str]:
     """Main texts of all pages of one host."""
     pages = [blocks_of(h)[0] for h in htmls]
-    streams = Streams(pages)
-    gone = streams.gone(streams.pages >= LEAST)
-    return [_joined(blocks, {part for q, part in gone if q == p}) for p, blocks in enumerate(pages)]
+    streams = Streams(pages, [""] * len(pages))
+    gone = streams.gone(boilerplate(streams.opened, streams.vouched))
+    return [_joined(blocks, gone.get(p, set())) for p, blocks in enumerate(pages)]
 
 
-READ = "page_id long, url string, host string, text string, blocks array<string>, parts array<int>, tokens int"
+READ = "page_id long, url string, host string, shard long, blocks array<string>, parts array<int>, runs array<long>, n array<long>"
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages as blocks: the text of those that markup settles, the blocks and parts of the others."""
-    kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
+def _read(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Pages as blocks, in shards of about ``size`` tokens; a shard's first page has its array's open runs and the pages that leave each open."""
+    kinds = {"shard": pa.int64(), "blocks": pa.list_(pa.string()), "parts": pa.list_(pa.int32()), "runs": pa.list_(pa.int64()), "n": pa.list_(pa.int64())}
     for batch in batches:
-        start, held, rows = 0, 0, []
+        start, held, tokens, pages = 0, 0, 0, []
         for n, html in enumerate(batch.column("html")):
             blocks, _ = blocks_of(html.as_py())
-            if any(part for _, part in blocks):
-                tokens = sum(len(text.split()) + 1 for text, part in blocks if part)
-                rows.append((None, [text for text, _ in blocks], [part for _, part in blocks], tokens))
-            else:
-                rows.append((_joined(blocks, set()), None, None, 0))
+            pages.append(blocks)
             held += len(html.as_py() or "")
-            if held >= AT_ONCE or n == len(batch) - 1:
-                of = batch.slice(start, len(rows))
-                columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([*(of.column(c) for c in ("page_id", "url", "host")), *columns], ["page_id", "url", "host", "text", "blocks", "parts", "tokens"])
-                start, held, rows = n + 1, 0, []
-
-
-def _blocks(table: pa.Table) -> list[list[Block]]:
+            tokens += sum(text.count(" ") + 2 for text, _ in blocks)
+            if tokens >= size or held >= AT_ONCE or n == len(batch) - 1:
+                of = batch.slice(start, len(pages))
+                streams = Streams(pages, of.column("host").to_pylist())
+                runs = np.flatnonzero(streams.opened)
+                rest = [None] * (len(pages) - 1)
+                columns = {
+                    "shard": [secrets.randbits(63)] * len(pages),
+                    "blocks": [[text for text, _ in blocks] for blocks in pages],
+                    "parts": [[part for _, part in blocks] for blocks in pages],
+                    "runs": [streams.run_hashes(runs).view(np.int64) if len(runs) else None, *rest],
+                    "n": [streams.opened[runs] if len(runs) else None, *rest],
+                }
+                arrays = [pa.array(columns[c], kind) for c, kind in kinds.items()]
+                yield pa.RecordBatch.from_arrays([*(of.column(c) for c in ("page_id", "url", "host")), *arrays], ["page_id", "url", "host", *kinds])
+                start, held, tokens, pages = n + 1, 0, 0, []
+
+
+def _blocks(table: pa.Table | pa.RecordBatch) -> list[list[Block]]:
     return [list(zip(b, p)) for b, p in zip(table.column("blocks").to_pylist(), table.column("parts").to_pylist())]
 
 
-def _runs(table: pa.Table) -> pa.Table:
-    """(host, shard, run, n): the pages that hold each run of a shard; of a host's only shard, the repeated runs alone."""
-    streams = Streams(_blocks(table))
-    run, n = streams.run_hashes(), streams.pages
-    if table.column("shards")[0].as_py() == 1:
-        run, n = run[n >= LEAST], n[n >= LEAST]
-    same = lambda c, kind: pa.array([table.column(c)[0].as_py()] * len(run), kind)
-    return pa.table({"host": same("host", pa.string()), "shard": same("shard", pa.int64()), "run": pa.array(run.view(np.int64)), "n": pa.array(n)})
+def _vouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, n): runs that pages of a batch vouch for, and the number of these pages."""
+    for batch in batches:
+        streams = Streams([[b for b in blocks if not b[1]] for blocks in _blocks(batch)], batch.column("host").to_pylist())
+        runs = streams.run_hashes(np.arange(len(streams.vouched))).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(streams.vouched)], ["run", "n"])
 
 
 def _decide(table: pa.Table, runs: pa.Table) -> pa.Table:
     pages = _blocks(table)
-    streams = Streams(pages)
-    gone: dict[int, set[int]] = {}
-    for p, part in streams.gone(np.isin(streams.run_hashes().view(np.int64), runs.column("run").to_numpy())):
-        gone.setdefault(p, set()).add(part)
+    streams = Streams(pages, table.column("host").to_pylist())
+    gone = streams.gone(np.isin(streams.run_hashes(np.arange(len(streams.opened))).view(np.int64), runs.column("run").to_numpy()))
     texts = [_joined(blocks, gone.get(p, set())) for p, blocks in enumerate(pages)]
     return pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array(texts, pa.string())})
 
@@ -346,21 +375,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     host = F.coalesce(F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    read = stored(rows.mapInArrow(_read, READ), "pages")
-    settled = read.where("text is not null").select("page_id", "url", "text")
-    open_pages = read.where("text is null")
-    sizes = open_pages.groupBy("host").agg(F.sum("tokens").alias("n"))
-    large = stored(sizes.where(F.col("n") > shard).select(F.col("host").alias("of"), F.ceil(F.col("n") / shard).alias("shards")), "large_hosts")
-    # a join that deals the pages by host would leave a large one in one task
-    few = F.broadcast(large) if large.count() <= BROADCAST else large
-    dealt = open_pages.join(few, F.col("host") == F.col("of"), "left").withColumn("shards", F.coalesce("shards", F.lit(1).cast("long")))
-    dealt = dealt.withColumn("shard", F.xxhash64("host", F.pmod(F.xxhash64("page_id", "url", "blocks"), F.col("shards"))))
-    dealt = dealt.select("page_id", "url", "host", "blocks", "parts", "shard", "shards")
-    runs = stored(dealt.groupBy("shard").applyInArrow(_runs, "host string, shard long, run long, n long"), "runs")
-    often = runs.groupBy("host", "run").agg(F.sum("n").alias("total")).where(F.col("total") >= LEAST).select("host", "run")
-    back = runs.join(often, ["host", "run"]).select("shard", "run")
+    read = stored(rows.mapInArrow(partial(_read, size=shard), READ), "pages")
+    held = read.where("runs is not null").select("shard", F.explode(F.arrays_zip("runs", "n")).alias("r")).select("shard", F.col("r.runs").alias("run"), "r.n")
+    often = stored(held.groupBy("run").agg(F.sum("n").alias("opened")).where(F.col("opened") >= LEAST), "runs")
+    found = often.count()
+    if found:
+        few = F.broadcast(often) if found <= BROADCAST else often
+        vouched = read.select("host", "blocks", "parts").mapInArrow(_vouched, "run long, n long").join(few.select("run"), "run").groupBy("run").agg(F.sum("n").alias("vouched"))
+        often = stored(often.join(vouched, "run", "left").where("opened > coalesce(vouched, 0)"), "boilerplate")
+    back = stored(held.join(often, "run").select("shard", "run"), "back")
+    shards = stored(back.select("shard").distinct(), "shards")
+    # a join by shard would shuffle the texts of all pages
+    few = F.broadcast(shards) if shards.count() <= BROADCAST else shards
+    whole = read.join(few, "shard", "left_anti").select("page_id", "url", F.array_join("blocks", "\n\n").alias("text"))
+    dealt = read.join(few, "shard", "left_semi").select("page_id", "url", "host", "blocks", "parts", "shard")
     decided = dealt.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_decide, "page_id long, url string, text string")
-    return settled.union(decided).withColumn("n_chars", F.length("text").cast("long"))
+    return whole.union(decided).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op8_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,3 +144,67 @@ def test_time_is_linear():
         start = time.process_time()
         P.blocks_of(html)
         assert time.process_time() - start < 5
+
+
+def test_pages_with_an_article_take_part_in_the_array(spark):
+    said = "a passage of more than eight words that several articles of this host repeat"
+    line = "all rights on this host are reserved by us and by nobody else"
+    rows, want = [], {}
+    for i in range(7):
+        # three pages leave the passage open and four vouch for it; four leave the line open, as it is elsewhere on the host
+        html = f"<p>Text {i} of its own.</p><p>{said}</p>" if i < 3 else f"<article><p>{said}</p></article><p>Text {i}</p>"
+        rows += [(i, f"http://a.b/{i}", html, "", ""), (10 + i, f"http://c.d/{i}", f"<p>Page {i}</p><p>{said if i < 4 else line}</p>", "", "")]
+        want |= {i: f"Text {i} of its own.\n\n{said}" if i < 3 else said, 10 + i: f"Page {i}"}
+    assert P.main_texts([r[2] for r in rows if r[0] < 10]) == [want[i] for i in range(7)]
+    for shard in (1 << 18, 16):
+        assert {r.page_id: r.text for r in P.extract(spark.createDataFrame(rows, KIND), shard=shard).collect()} == want
+
+
+def test_every_shard_has_an_array(monkeypatch):
+    import pyarrow as pa
+
+    seen = []
+    monkeypatch.setattr(P, "suffix_array", lambda tokens, *a, whole=P.suffix_array: seen.append(len(tokens)) or whole(tokens, *a))
+    line = "all rights on this host are reserved by us and by nobody else"
+    htmls = [f"<article><p>{line}</p><p>Own {i}</p></article>" for i in range(20)]
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(20)), "url": htmls, "host": ["a.b"] * 20, "html": htmls})
+    out = [r for b in P._read(iter([batch]), 100) for r in b.to_pylist()]
+    assert sum(seen) == 20 * 17 and len({r["shard"] for r in out}) == len(seen) == 4
+    assert [r["blocks"] for r in out] == [[line, f"Own {i}"] for i in range(20)] and not any(r["runs"] for r in out)
+
+
+def test_joint_text_of_mixed_pages_matches_brute_force(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(60)]
+    common = [" ".join(rng.choice(words, size)) for size in (12, 12, 9, 30, 15, 20)]
+    rows, pages = [], []
+    for i in range(240):
+        host, article = f"h{rng.integers(3)}", rng.random() < 0.4
+        blocks = [" ".join(rng.choice(words, rng.integers(1, 20))) for _ in range(rng.integers(0, 3))]
+        blocks += [text for k, text in enumerate(common) if rng.random() < (0.02, 0.05, 0.1, 0.5)[k % 4] * (3 if article and k > 3 else 1)]
+        pages.append((host, article, blocks))
+        html = "".join(f"<p>{x}</p>" for x in blocks)
+        rows.append((i, f"http://{host}/{i}", f"<article>{html}</article>" if article else html, "", ""))
+    where = {}
+    streams = [[w for text in blocks for w in (*text.split(), None)] for _, _, blocks in pages]
+    for i, (host, article, _) in enumerate(pages):
+        for j in range(len(streams[i]) - 7):
+            where.setdefault((host, *streams[i][j : j + 8]), (set(), set()))[article].add(i)
+    want, gone = {}, 0
+    for i, (host, article, blocks) in enumerate(pages):
+        hit = [False] * len(streams[i])
+        for j in range(len(hit) - 7):
+            opened, vouched = where[(host, *streams[i][j : j + 8])]
+            if len(opened) >= 3 and len(opened) > len(vouched):
+                hit[j : j + 8] = [True] * 8
+        kept, at = [], 0
+        for text in blocks:
+            n = len(text.split()) + 1
+            if article or sum(hit[at : at + n]) < 0.8 * n:
+                kept.append(text)
+            at += n
+        gone += len(blocks) - len(kept)
+        want[i] = "\n\n".join(kept)
+    assert gone > 20
+    for shard in (1 << 18, 300):
+        assert {r.page_id: r.text for r in P.extract(spark.createDataFrame(rows, KIND), shard=shard).collect()} == want
